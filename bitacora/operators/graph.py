@@ -30,11 +30,9 @@ def graph_edges(df: DataFrame) -> DataFrame:
     if not lists:
         return df.sparkSession.createDataFrame([], "src string, dst string")
     return (
-        df.select(folio_key(F.col("Folio")).alias("a"), F.concat(*lists).alias("_related"))
-        .where(F.col("a").isNotNull() & (F.size("_related") > 0))
-        .select("a", F.explode("_related").alias("b"))
+        df.select(folio_key(F.col("Folio")).alias("a"), F.explode(F.concat(*lists)).alias("b"))
         .select("a", folio_key(F.col("b")).alias("b"))
-        .where(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
         .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
         .distinct()
     )

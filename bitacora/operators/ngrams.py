@@ -18,15 +18,20 @@ def tokens(text: Column, use_stop_words: bool = True) -> Column:
 
 
 def ngrams(words: Column, shortest: int, longest: int) -> Column:
-    """All n-grams of the token array, ``shortest`` <= n <= ``longest``."""
-    sizes = []
-    for n in range(shortest, longest + 1):
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        sizes.append(
-            F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
-        )
-    return F.concat(*sizes)
+    """All n-grams, ``shortest`` <= n <= ``longest``, of words joined by spaces.
+
+    A pattern matches one word after the other and captures it together with
+    the words ahead, so n-grams overlap.
+    """
+    word = "[^ ]+"
+    return F.concat(
+        *[
+            F.regexp_extract_all(
+                words, F.lit(f"(?=({' '.join([word] * n)})){word} ?"), F.lit(1)
+            )
+            for n in range(shortest, longest + 1)
+        ]
+    )
 
 
 def ngram_counts(
@@ -37,23 +42,27 @@ def ngram_counts(
 ) -> DataFrame:
     """(phrase, freq, docs): occurrences and number of texts for every n-gram.
 
-    The n-grams of a text are sorted inside its row so that the first of each
-    kind can be told apart; the number of texts is then a plain sum.  Both
-    counts need one shuffle, after partial sums, and no text identifier.
+    The n-grams of a text are sorted inside its row and each is paired with the
+    one before it, which tells the first of each kind apart; the number of texts
+    is then a plain sum.  Both counts need one shuffle, after partial sums, and
+    no text identifier.
     """
-    words = df.select(tokens(F.col(f"`{text}`"), use_stop_words).alias("_words"))
-    grams = words.select(F.sort_array(ngrams(F.col("_words"), *ngram_range)).alias("_grams"))
-    marked = F.transform(
-        "_grams",
-        lambda g, i: F.struct(
-            g.alias("phrase"),
-            F.when((i > 0) & (F.get("_grams", i - 1) == g), 0).otherwise(1).alias("first"),
-        ),
+    words = df.select(
+        F.array_join(tokens(F.col(f"`{text}`"), use_stop_words), " ").alias("_words")
     )
+    grams = words.select(F.sort_array(ngrams(F.col("_words"), *ngram_range)).alias("_grams"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_grams"))
     return (
-        grams.select(F.explode(marked).alias("g"))
-        .groupBy(F.col("g.phrase").alias("phrase"))
-        .agg(F.count(F.lit(1)).alias("freq"), F.sum("g.first").alias("docs"))
+        grams.select(
+            F.inline(F.arrays_zip(F.col("_grams").alias("phrase"), before.alias("before")))
+        )
+        # One entry too many per text, from the shift.
+        .where(F.col("phrase").isNotNull())
+        .groupBy("phrase")
+        .agg(
+            F.count(F.lit(1)).alias("freq"),
+            F.count_if(~F.col("phrase").eqNullSafe(F.col("before"))).alias("docs"),
+        )
     )
 
 
