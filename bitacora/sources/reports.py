@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from bitacora.fixed_values import MISSING_TOKENS
+from bitacora.operators.rows import spread_rows
 
 # Order of the rows in the input: file, block of the file, row in the block.
 ORDER = "_orden"
 _BROKEN = "_corrupt_record"
-_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# The width of a record shows only when all of its cells are parsed.
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
 
 
 def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -83,8 +85,10 @@ def _read_alike(
     )
     # Records of any unexpected width come with their text: lines of blanks go,
     # short rows stay padded with nulls, long ones are an error.
-    record = F.col(_BROKEN)
-    df = df.where(record.isNull() | record.rlike(r"[^\s]"))
+    # (A scan may not ask for the record alone, so the first cell is looked at too.)
+    record, first = F.col(_BROKEN), F.col(f"`{names[0]}`")
+    filled = record.isNull() | first.rlike(r"\S") | record.rlike(r"\S")
+    df = df.where(F.coalesce(filled, F.lit(False)))
     if long_rows == "fail":
         too_long = F.coalesce(_field_count(record) > len(names), F.lit(False))
         message = F.concat(F.lit(f"more than {len(names)} fields in record: "), record)
@@ -144,5 +148,6 @@ def read_report(
             names = header
         elif header != names:
             raise ValueError(f"headers differ between files: {names} and {header}")
-        parts.append(_read_alike(spark, files, names, options, long_rows))
+        part = _read_alike(spark, files, names, options, long_rows)
+        parts.append(spread_rows(part) if spans_lines else part)
     return missing_to_null(reduce(DataFrame.unionByName, parts), names)
