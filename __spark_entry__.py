@@ -500,14 +500,18 @@ flagged AS (SELECT report.*, number, size, len(cancelados) > 0 AND coalesce(size
 
 
 def _grams(source: str, text: str, doc: str, sizes: tuple[int, int], stop: bool) -> str:
-    words = f"regexp_extract_all(lower({text}), '{_W}{{2,}}')"
-    words = _without_stop_words(words) if stop else words
+    """Words by position, those ahead by a window, and the n-grams they form."""
+    stops = ", ".join(_quoted(w) for w in STOP_WORDS)
+    ahead = ", ".join(f"lead(word, {i}) OVER d AS w{i}" for i in range(sizes[1]))
     parts = " UNION ALL ".join(
-        f"SELECT doc, unnest(list_transform(range(1, len(w) - {n} + 2), "
-        f"lambda i: array_to_string(list_slice(w, i, i + {n - 1}), ' '))) AS phrase FROM words"
+        f"SELECT doc, {" || ' ' || ".join(f'w{i}' for i in range(n))} AS phrase FROM ahead"
         for n in range(sizes[0], sizes[1] + 1)
     )
-    return f"words AS (SELECT {doc} AS doc, {words} AS w FROM {source}), grams AS ({parts})"
+    return f"""cut AS (SELECT {doc} AS doc, regexp_extract_all(lower({text}), '{_W}{{2,}}') AS ws FROM {source}),
+words AS (SELECT doc, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM cut),
+kept AS (SELECT * FROM words {f"WHERE word NOT IN ({stops})" if stop else ""}),
+ahead AS (SELECT doc, {ahead} FROM kept WINDOW d AS (PARTITION BY doc ORDER BY pos)),
+grams AS (SELECT * FROM ({parts}) WHERE phrase IS NOT NULL)"""
 
 
 def _top(least: int, k: int) -> str:

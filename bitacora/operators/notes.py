@@ -33,16 +33,19 @@ class Relation:
     invalid ones, which are still skipped over as a whole.
     """
 
-    def __init__(self, name: str, keyword: str, parts: tuple[str, str, str]):
+    def __init__(self, name: str, keyword: str, starts: str, parts: tuple[str, str, str]):
         self.name = name
         self.keyword = f"(?iU){keyword}"
         # Looking back for a digit changes no match; it stops a long number
-        # from being tried again from each of its digits.
+        # from being tried again from each of its digits.  Neither does looking
+        # for a possible first character; it is quicker than trying both forms.
         lead, core, tail = parts
         strict = self._fill(core, rf"(?<!\d){_FOLIO}(?!\d)")
         general = self._fill(core, r"(?<!\d)\d+")
         lead, tail = self._fill(lead), self._fill(tail)
-        self.pattern = f"(?iUd)(?:{lead}({strict}){tail})|({lead}{general}{tail})"
+        self.pattern = (
+            f"(?iUd)(?=[{starts}])(?:(?:{lead}({strict}){tail})|({lead}{general}{tail}))"
+        )
 
     @staticmethod
     def _fill(part: str, number: str = "") -> str:
@@ -51,18 +54,16 @@ class Relation:
     def cores(self, text: Column) -> Column:
         """Cores of the valid references, one per line; '' if there are none."""
         found = F.array_join(F.regexp_extract_all(text, F.lit(self.pattern), F.lit(1)), "\n")
-        return F.when(text.rlike(self.keyword), found).otherwise("")
+        return F.coalesce(F.when(text.rlike(self.keyword), found), F.lit(""))
 
-    def removed(self, text: Column, cores: Column) -> Column:
-        return F.when(
-            F.length(cores) >= FOLIO_DIGITS, F.regexp_replace(text, self.pattern, "$2")
-        ).otherwise(text)
+    def removed(self, text: Column) -> Column:
+        return F.regexp_replace(text, self.pattern, "$2")
 
 
-SPLIT = Relation("split", "se dividio", SPLIT_PATTERN)
-LINKED = Relation("linked", "ligado", LINKED_PATTERN)
-CANCELLED = Relation("cancelled", "cancelado", CANCELLED_PATTERN)
-REFERENCE = Relation("reference", "referencia", REFERENCE_PATTERN)
+SPLIT = Relation("split", "se dividio", r"ef\d", SPLIT_PATTERN)
+LINKED = Relation("linked", "ligado", r"ef\d", LINKED_PATTERN)
+CANCELLED = Relation("cancelled", "cancelado", r"ef\d", CANCELLED_PATTERN)
+REFERENCE = Relation("reference", "referencia", "er", REFERENCE_PATTERN)
 
 # Each relation is searched in the text that the ones before it left.
 RELATIONS = (SPLIT, LINKED, CANCELLED, REFERENCE)
@@ -83,25 +84,21 @@ def extract_relations(
 ) -> DataFrame:
     """Adds ``_<relation>`` (cores) per relation and ``_rest`` (text without them).
 
-    Every step reads the column written by the step before it, so each pattern
-    runs once per row, and only on rows that hold a ten-digit number and the
-    keyword of the relation.
+    A note without a ten-digit number is null throughout the steps, which skips
+    the patterns.  Every step names the text before it just once: a condition on
+    a result may be moved below the steps, and then repeats them once, not once
+    for each way to reach them.
     """
-    given = df.columns
-    note = F.col(text)
+    note = F.col(f"`{text}`")
     df = df.withColumn(
-        "_rest", F.when(note.isNull() | note.isin("", "nan"), "").otherwise(note)
-    ).withColumn("_any", F.col("_rest").rlike(_HAS_FOLIO))
+        "_note", F.when(note.isNull() | note.isin("", "nan"), "").otherwise(note)
+    ).withColumn("_rest", F.when(F.col("_note").rlike(_HAS_FOLIO), F.col("_note")))
     for relation in relations:
-        cores = f"_{relation.name}"
-        df = df.withColumn(
-            cores, F.when(F.col("_any"), relation.cores(F.col("_rest"))).otherwise("")
-        ).withColumn("_rest", relation.removed(F.col("_rest"), F.col(cores)))
-    # Conditions on these columns stop at a generator.  Without it the optimizer
-    # moves them below the steps, each of which would then be repeated for every
-    # use of its column: exponentially many times over the chain.
-    found = F.struct(*[f"_{relation.name}" for relation in relations], "_rest")
-    return df.select(*[F.col(f"`{c}`") for c in given], F.inline(F.array(found)))
+        rest = F.col("_rest")
+        df = df.withColumns(
+            {f"_{relation.name}": relation.cores(rest), "_rest": relation.removed(rest)}
+        )
+    return df.withColumn("_rest", F.coalesce("_rest", "_note")).drop("_note")
 
 
 def extract_notes(
