@@ -85,28 +85,25 @@ def _extracted(*columns):
     return query
 
 
+# Four lists per line, with repeats inside and across them.
+DEDUP_LISTS = {
+    "ligados": ["l_suppkey % 7", "l_partkey % 7", "l_suppkey % 7"],
+    "referencia": ["l_partkey % 9", "l_linenumber", "l_suppkey % 9", "l_linenumber"],
+    "dividido_a": ["(l_suppkey + l_partkey) % 11", "l_linenumber", "l_suppkey % 7"],
+    "dividido_de": ["l_partkey % 5", "l_suppkey % 13", "l_partkey % 5"],
+}
+DEDUP_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def _cross_column_dedup(spark, sf_dir):
-    """Four lists per order from the keys of its lines."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    key = {
-        "ligados": F.col("l_suppkey") % 7,
-        "referencia": F.col("l_partkey") % 9,
-        "dividido_a": F.col("l_linenumber").cast("bigint"),
-        "dividido_de": (F.col("l_suppkey") + F.col("l_partkey")) % 11,
-    }
-    # An order has a handful of lines; sorting makes the lists definite.
-    lists = lines.groupBy("l_orderkey").agg(
-        *[
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", k.alias("k")))),
-                lambda s: s["k"].cast("string"),
-            ).alias(name)
-            for name, k in key.items()
-        ]
-    )
-    unique = prioritized_distinct(*[F.col(name) for name in key])
-    return lists.select(
-        "l_orderkey", *[F.array_join(u, ",").alias(name) for u, name in zip(unique, key)]
+    lists = [
+        F.array(*[F.expr(item).cast("string") for item in items])
+        for items in DEDUP_LISTS.values()
+    ]
+    unique = prioritized_distinct(*lists)
+    return lines.select(
+        *DEDUP_KEYS, *[F.array_join(u, ",").alias(name) for u, name in zip(unique, DEDUP_LISTS)]
     )
 
 
@@ -544,21 +541,22 @@ def _phrases_replaced(new: Callable[[int], str]) -> str:
     return f"SELECT doc_id, {_trimmed(text)} AS text FROM documents"
 
 
-_DEDUP = """
-WITH keyed AS (
-  SELECT l_orderkey, l_linenumber AS pos, l_partkey AS part, l_suppkey % 7 AS k, 1 AS prio FROM lineitem
-  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_partkey % 9, 2 FROM lineitem
-  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber, 3 FROM lineitem
-  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, (l_suppkey + l_partkey) % 11, 4 FROM lineitem),
-kept AS (SELECT * FROM keyed QUALIFY
-  row_number() OVER (PARTITION BY l_orderkey, k ORDER BY prio, pos, part) = 1)
-SELECT l_orderkey,
-  coalesce(string_agg(k::VARCHAR, ',' ORDER BY pos, part, k) FILTER (prio = 1), '') AS ligados,
-  coalesce(string_agg(k::VARCHAR, ',' ORDER BY pos, part, k) FILTER (prio = 2), '') AS referencia,
-  coalesce(string_agg(k::VARCHAR, ',' ORDER BY pos, part, k) FILTER (prio = 3), '') AS dividido_a,
-  coalesce(string_agg(k::VARCHAR, ',' ORDER BY pos, part, k) FILTER (prio = 4), '') AS dividido_de
-FROM kept GROUP BY l_orderkey
-"""
+def _dedup() -> str:
+    given = ", ".join(
+        f"[{', '.join(f'({item})::VARCHAR' for item in items)}] AS {name}"
+        for name, items in DEDUP_LISTS.items()
+    )
+    kept, before = [], []
+    for name in DEDUP_LISTS:
+        taken = "".join(f" AND NOT list_contains({other}, x)" for other in before)
+        first = f"list_filter({name}, lambda x, i: list_position({name}, x) = i{taken})"
+        kept.append(f"array_to_string({first}, ',') AS {name}")
+        before.append(name)
+    keys = ", ".join(DEDUP_KEYS)
+    return (
+        f"WITH given AS (SELECT {keys}, {given} FROM lineitem) "
+        f"SELECT {keys}, {', '.join(kept)} FROM given"
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -573,7 +571,7 @@ def oracle_sql() -> dict[str, str]:
         "extract_linked": f"WITH {_NOTES} SELECT fila, {_columns('folios_ligados')} FROM notes",
         "extract_cancelled": f"WITH {_NOTES} SELECT fila, {_columns('cancelado')} FROM notes",
         "extract_reference": f"WITH {_NOTES} SELECT fila, {_columns('referencia_folio')} FROM notes",
-        "cross_column_dedup": _DEDUP,
+        "cross_column_dedup": _dedup(),
         "clean_note": f"WITH {_NOTES} SELECT fila, nota_limpia FROM notes",
         "normalize_text": f"SELECT doc_id, {_normal('text')} AS normal FROM documents",
         "normalize_notes": f"WITH {_RAW} SELECT fila, {_normal('Notas')} AS normal FROM raw",

@@ -48,7 +48,9 @@ def keyed_lookup(
         spread = spread | F.col("_hot").isNotNull()
     salt = F.when(spread, 1 + F.pmod(F.xxhash64(spread_by), F.lit(_SALTS))).otherwise(0)
     facts = facts.withColumn("_salt", salt)
-    cold = table.withColumn("_salt", F.lit(0).cast("bigint"))
+    # As a constant the salt of the table would leave the join key again, and
+    # the rows would not be spread; what a generator yields stays in it.
+    cold = table.withColumn("_salt", F.explode(F.array(F.lit(0).cast("bigint"))))
     joined = facts.join(cold, [key, "_salt"], "left")
     if hot is None:
         return joined.select(*[F.col(f"`{c}`") for c in given], *found)

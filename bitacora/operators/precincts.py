@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bitacora.operators.lookup import HOT_ROWS, frequent_keys, keyed_lookup
 from bitacora.sources.dictionaries import Precincts, default_precincts
 
 
@@ -23,10 +24,17 @@ def assign_precinct(
     if precincts is None or municipality not in df.columns:
         return df.withColumn("comisaria", F.lit(None).cast("string"))
     names = precincts.frame.select(F.col("municipio").alias("_name"), "comisaria")
+    rows = df.drop("comisaria").withColumn("_name", F.upper(F.col(f"`{municipality}`")))
     if precincts.is_small:
-        names = F.broadcast(names)
-    return (
-        df.drop("comisaria")
-        .join(names, F.upper(F.col(f"`{municipality}`")) == F.col("_name"), "left")
-        .drop("_name")
-    )
+        return rows.join(F.broadcast(names), "_name", "left").drop("_name")
+    # Too large to ship: only the entries of frequent municipalities are, of
+    # which there is at most one per HOT_ROWS rows.
+    frequent = frequent_keys(rows, "_name", HOT_ROWS)
+    return keyed_lookup(
+        rows,
+        names,
+        "_name",
+        spread_by=F.monotonically_increasing_id(),
+        hot=names.join(F.broadcast(frequent), "_name", "left_semi"),
+        null_keys=True,
+    ).drop("_name")

@@ -160,6 +160,10 @@ def test_precincts(spark, tmp_path):
     assert {tuple(r) for r in loaded.frame.collect()} == {
         (name.upper(), pid) for pid, group in PRECINCTS.items() for name in group
     }
+    # A dictionary too large to ship gives the same result.
+    loaded.is_small = False
+    again = {r["Municipio"]: r["comisaria"] for r in assign_precinct(df, loaded).collect()}
+    assert again == got
     # The last id wins for a name; a missing file means no precinct; a broken one fails.
     path = put(tmp_path / "q.json", '{"2": ["a", "b"], "1": ["B", "c"]}')
     assert {tuple(r) for r in load_precincts(spark, path).frame.collect()} == {

@@ -64,8 +64,10 @@ def shapes():
     return chain + hub + mixed
 
 
-@pytest.mark.parametrize("name", ["{:010d}", "1{:09d}", "F-{}"])
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
+@pytest.mark.parametrize(
+    "name, hot_rows",
+    [("1{:09d}", 1_000_000), ("1{:09d}", 20), ("F-{}", 1_000_000), ("{:010d}", 20)],
+)
 def test_components_match_union_find(spark, name, hot_rows):
     edges = [(name.format(a), name.format(b)) for a, b in shapes() if a != b]
     random.Random(8).shuffle(edges)
@@ -102,6 +104,30 @@ def test_lookup_of_hot_and_null_keys(spark):
             assert out.count() == len(rows)
 
 
+def test_hot_and_null_keys_are_spread(spark):
+    rows = [(i, "a" if i % 3 == 0 else None if i % 3 == 1 else f"k{i}") for i in range(3000)]
+    facts = spark.createDataFrame(rows, "i int, k string")
+    table = spark.createDataFrame([("a", 1)] + [(f"k{i}", i) for i in range(3000)], "k string, v int")
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = keyed_lookup(facts, table, "k", F.col("i"), table.where("k = 'a'"), True)
+        sizes = [
+            r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        ]
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert len(sizes) == 8 and sum(sizes) == 3000
+    assert max(sizes) < 2 * 3000 / 8
+
+
 COLUMNS = (
     "n int, Folio string, cancelados array<string>, Divididos string, "
     "folios_ligados array<string>, referencia_folio array<string>"
