@@ -39,8 +39,13 @@ def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _column_names(spark: SparkSession, path: str | list[str], options: dict) -> list[str]:
-    """Names from the header record; repeated ones get .1, .2 and so on."""
+def _column_names(
+    spark: SparkSession, path: str | list[str], options: dict
+) -> tuple[list[str], bool]:
+    """Names from the header record, and whether they stand there as they are.
+
+    Repeated names get .1, .2 and so on, empty ones a name by their position.
+    """
     first = spark.read.options(header=False, **options).csv(path).first()
     if first is None:
         raise ValueError(f"no header in {path}")
@@ -57,7 +62,7 @@ def _column_names(spark: SparkSession, path: str | list[str], options: dict) ->
         other = folded.setdefault(name.lower(), name)
         if other != name:
             raise ValueError(f"columns differ only in case: {other!r}, {name!r}")
-    return names
+    return names, names == list(first)
 
 
 def _field_count(record: Column) -> Column:
@@ -143,11 +148,13 @@ def read_report(
     parts = []
     for (charset, spans_lines), files in sorted(kinds.items(), key=lambda kind: kind[0]):
         options = {**_CSV, "encoding": charset, "multiLine": spans_lines}
-        header = _column_names(spark, files, options)
+        header, as_written = _column_names(spark, files, options)
         if names is None:
             names = header
         elif header != names:
             raise ValueError(f"headers differ between files: {names} and {header}")
+        # Unless names were made up, every file is checked to have this header.
+        options["enforceSchema"] = not as_written
         part = _read_alike(spark, files, names, options, long_rows)
         parts.append(spread_rows(part) if spans_lines else part)
     return missing_to_null(reduce(DataFrame.unionByName, parts), names)

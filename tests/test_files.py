@@ -124,6 +124,20 @@ def test_headers(spark, tmp_path):
     assert empty.count() == 0 and "Nota" in empty.columns
 
 
+@pytest.mark.parametrize("quoted", ["", '"a\nb"'])
+@pytest.mark.parametrize("bom", ["", "\ufeff"])
+def test_files_must_share_the_header(spark, tmp_path, quoted, bom):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    body = f"1,2,{quoted},x\n"
+    put(folder / "a.csv", bom + HEADER + body)
+    put(folder / "b.csv", bom + HEADER + body)
+    assert read_report(spark, str(folder)).count() == 2
+    put(folder / "c.csv", bom + "Folio,Notas,Tipo de Incidente,Municipio\n" + body)
+    with pytest.raises(Exception, match="(?s)header"):
+        read_report(spark, str(folder)).collect()
+
+
 def test_excluded_types(spark, tmp_path):
     path = put(tmp_path / "a.csv", HEADER + "1,70104,a,x\n2,,b,x\n3,70104.0,c,x\n")
     assert [r["Folio"] for r in process_report(spark, path).orderBy("Folio").collect()] == ["2", "3"]
