@@ -30,7 +30,15 @@ from bitacora import (  # noqa: E402
     tokenize_frequent,
     top_ngrams,
 )
-from bitacora.fixed_values import PRECINCTS  # noqa: E402
+from bitacora.fixed_values import (  # noqa: E402
+    CANCELLED_PATTERN,
+    DATE_PATTERN,
+    LINKED_PATTERN,
+    PRECINCTS,
+    REFERENCE_PATTERN,
+    SPLIT_PATTERN,
+    TIME_PATTERN,
+)
 from bitacora.fixed_values import SPANISH_STOP_WORDS as STOP_WORDS  # noqa: E402
 from bitacora.fixture import INCIDENTS_SQL, ROW, incidents  # noqa: E402
 from bitacora.functions.lists import prioritized_distinct  # noqa: E402
@@ -398,8 +406,8 @@ def _trimmed(text: str) -> str:
 
 def _normal(text: str) -> str:
     text = f"lower(replace(replace({text}, 'Ã±', 'ñ'), chr(65533), ' '))"
-    text = _whole(text, r"\p{Nd}{1,2}[/-]\p{Nd}{1,2}[/-]\p{Nd}{2,4}", " ")
-    text = _whole(text, r"\p{Nd}{1,2}:\p{Nd}{2}(?::\p{Nd}{2})?", " ")
+    for pattern in (DATE_PATTERN, TIME_PATTERN):
+        text = _whole(text, pattern.format(n=r"\p{Nd}"), " ")
     return f"coalesce(trim({_sub(text, _N + '+', ' ')}), '')"
 
 
@@ -411,16 +419,15 @@ def _without_stop_words(words: str) -> str:
     return f"list_filter({words}, lambda w: NOT list_contains({_in_list(STOP_WORDS)}, w))"
 
 
-_LEAD = r"(?:El incidente |Folio )?"
-_SPLIT = (
-    _LEAD + r"(\d{10})\s+se dividio\s+(?:a|al folio)\s+(\d{10})(?:.*?por [\p{L}\p{N}_() ]+)?"
-)
-_LINKED = (
-    _LEAD + r"(\d{10})\s+(?:ha sido |se ha )?ligado\s+(?:al?|con el?)\s*"
-    r"(?:incidente|folio)?\s*(\d{10})"
-)
-_CANCELLED = _LEAD + r"(\d{10})\s+(?:fue )?cancelado\s+por\s+[\p{L}\p{N}_() ]+"
-_REFERENCE = r"(?:EN )?REFERENCIA\s+(?:A\s+|AL\s+)?(?:FOLIO\s+)?(\d{10})"
+def _folio_pattern(parts: tuple[str, str, str]) -> str:
+    """Valid references only: no invalid one gets in the way in these notes."""
+    return "".join(parts).format(n=r"(\d{10})", s=r"\s", w=r"\p{L}\p{N}_")
+
+
+_SPLIT = _folio_pattern(SPLIT_PATTERN)
+_LINKED = _folio_pattern(LINKED_PATTERN)
+_CANCELLED = _folio_pattern(CANCELLED_PATTERN)
+_REFERENCE = _folio_pattern(REFERENCE_PATTERN)
 # The dictionary phrases that occur in the incidents.
 _PHRASES = [
     ("enterado monitoreo conforme", "monitoreo_seguimiento"),
