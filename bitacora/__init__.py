@@ -15,7 +15,7 @@ from bitacora.operators.precincts import assign_precinct
 from bitacora.operators.rows import drop_excluded_types, project_report
 from bitacora.operators.separation import attach_groups, separate_cancelled
 from bitacora.plans.mining import drop_frequent, mine_map, tokenize_frequent
-from bitacora.plans.pipeline import analyze, run
+from bitacora.plans.pipeline import analyze, run, separate_to_files
 from bitacora.plans.report import process_report, process_rows
 from bitacora.sources.dictionaries import default_precincts, load_phrases, load_precincts
 from bitacora.sources.reports import read_report
@@ -49,6 +49,7 @@ __all__ = [
     "remove_phrases",
     "run",
     "separate_cancelled",
+    "separate_to_files",
     "substitution_map",
     "tokenize_frequent",
     "top_ngrams",

@@ -83,6 +83,31 @@ def _stage_report(counted, order, precincts, phrases, ws):
     return report, {**read.get, **kept}
 
 
+def separate_to_files(
+    df: DataFrame,
+    groups: DataFrame,
+    cancelled_path: str | None = None,
+    clean_path: str | None = None,
+    relations_path: str | None = None,
+    ws: Workspace | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``separate_cancelled`` that also writes the parts, each if it has a path.
+
+    The files leave out the group columns; the frames keep them.  The joined
+    rows are written to the workspace once and read for every part.
+    """
+    ws = ws or Workspace(df.sparkSession)
+    grouped = attach_groups(df, groups)
+    rows, _ = ws.stage(grouped.withColumn(APART, is_cancelled(grouped) & is_isolated()))
+    done = Result(rows, groups)
+    for part, path in ((done.cancelled, cancelled_path), (done.clean, clean_path)):
+        if path:
+            write_csv(without_group_columns(part), path, bom=True)
+    if relations_path:
+        write_csv(groups, relations_path, bom=True)
+    return done.cancelled, done.clean
+
+
 def run(
     spark: SparkSession,
     input_path: str | list[str],
@@ -110,8 +135,8 @@ def run(
         flag = F.col(APART)
         measures = {"cancelled_isolated": F.count_if(flag), "clean": F.count_if(~flag)}
         seen = Observation()
-        if keep_order or cancelled_path or clean_path:
-            # Sorted or written more than once: join only once.
+        if keep_order or single_file or cancelled_path or clean_path:
+            # Shuffled again or written more than once: join, and count, only once.
             rows, counts = ws.stage(result.rows, **measures)
         else:
             counts = None

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from bitacora import (
     assign_precinct,
+    component_table,
     load_phrases,
     load_precincts,
     process_report,
     process_rows,
     read_report,
     run,
+    separate_to_files,
     write_csv,
 )
 from bitacora.fixed_values import MISSING_TOKENS, PRECINCTS
@@ -252,6 +254,23 @@ def test_whole_job(spark, sf, tmp_path, keep_order):
     assert all(groups[r[-3]] == (r[-2], r[-1]) for r in final)
 
 
+def test_separation_to_files(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("A", ["A"], ["B"]), ("C", ["C"], []), ("D", [], [])],
+        "Folio string, cancelados array<string>, folios_ligados array<string>",
+    )
+    out = {n: str(tmp_path / n) for n in ("cancelled", "clean", "relations")}
+    cancelled, clean = separate_to_files(df, component_table(df), *out.values())
+    assert [tuple(r) for r in cancelled.collect()] == [("C", ["C"], [], "C", 2, 1)]
+    assert sorted(r["Folio"] for r in clean.collect()) == ["A", "D"]
+    assert b"".join(text_of(out["cancelled"])).count(b"C,['C'],[]\n") == 1
+    assert b"".join(text_of(out["clean"])).count(b"A,['A'],['B']\n") == 1
+    relations = read_report(spark, out["relations"]).drop(ORDER).collect()
+    assert {tuple(r) for r in relations} == {
+        ("A", "1", "2"), ("B", "1", "2"), ("C", "2", "1"), ("D", "3", "1"),
+    }
+
+
 def test_rows_of_a_stream(spark, sf, tmp_path):
     table = str(tmp_path / "in")
     incidents(spark, sf).write.parquet(table)
