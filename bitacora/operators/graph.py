@@ -181,8 +181,10 @@ def component_table(
     """
     ws = ws or Workspace(df.sparkSession)
     edges = graph_edges(df) if edges is None else edges
-    labels, _ = connected_components(edges, ws, hot_rows)
+    rounds = Workspace(df.sparkSession)
+    labels, _ = connected_components(edges, rounds, hot_rows)
     labels, seen = ws.stage(labels, folios=F.count(F.lit(1)))
+    rounds.remove()
 
     place = F.col(f"`{order}`") if order else folio_key(F.col("Folio"))
     own = (
