@@ -51,6 +51,15 @@ from bitacora.sources.reports import ORDER, read_report  # noqa: E402
 from bitacora.sources.sinks import write_csv  # noqa: E402
 from bitacora.storage import Workspace  # noqa: E402
 
+# The training-data operators stand apart: without them the rest works as before.
+try:
+    import corpus_pipeline
+    from bitacora.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "bitacora.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE = "/root/testdata/sf0.001"
 TYPE = "Tipo de Incidente"
 
@@ -332,6 +341,14 @@ def _drop_frequent(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or composition."""
+    return own_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "filter_excluded_types": _filter_excluded_types,
         "extract_split": _extracted("dividido_de", "dividido_a"),
@@ -567,7 +584,11 @@ def _dedup() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL with the same result for every key of ``queries``."""
+    """DuckDB SQL with the same result, for every query that SQL can express."""
+    return own_sql() | (llm.ORACLES if llm else {})
+
+
+def own_sql() -> dict[str, str]:
     lists = _columns("folios_ligados", "cancelados", "referencia_folio")
     report = f"Folio, tipo, comisaria, Municipio, Divididos, {lists}, Nota"
     group = 'number AS "Grupo_ID", size AS "Tamano_Grupo"'

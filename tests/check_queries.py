@@ -36,7 +36,7 @@ def compare(spark, db, sf_dir, name, query, sql):
     at = [names.index(c) for c in columns]
     theirs = [tuple(r[i] for i in at) for r in cursor.fetchall()]
     types = {type(v) for r in ours[:50] for v in r} | {type(v) for r in theirs[:50] for v in r}
-    if types - {int, str, type(None)}:
+    if types - {int, str, float, bool, type(None)}:
         return f"types {types}"
     key = repr
     ours, theirs = sorted(ours, key=key), sorted(theirs, key=key)

@@ -12,12 +12,12 @@ def db(sf):
 
 
 def test_keys_agree():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.own_queries()) == set(entry.own_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.own_queries()))
 def test_query_matches_sql(spark, sf, db, name):
-    assert compare(spark, db, sf, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, db, sf, name, entry.own_queries()[name], entry.own_sql()[name]) is None
 
 
 def test_entry(spark):
