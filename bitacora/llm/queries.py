@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitacora.llm import lines, mixing, rules, shards
+from bitacora.llm import lines, mixing, near, passages, rules, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,16 @@ def _op1_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _op4_near_duplicates(spark, sf_dir):
+    found = near.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _op6_substring_dedup(spark, sf_dir):
+    cut = passages.remove_passages(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _op8_quality_rules(spark, sf_dir):
     ledger = rules.ledger(table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -54,6 +64,8 @@ def _op10_sharding(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _op1_mixing,
+    "op4_near_duplicates": _op4_near_duplicates,
+    "op6_substring_dedup": _op6_substring_dedup,
     "op8_quality_rules": _op8_quality_rules,
     "op9_line_dedup": _op9_line_dedup,
     "op10_sharding": _op10_sharding,
@@ -88,6 +100,35 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size
     + least(size, greatest(0, floor(target) - epochs * source_size - before)))::BIGINT AS taken FROM e
 """
 
+_OP4 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+    translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) < 4 THEN [ws]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i:i + 3]) END)) AS g FROM d WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) AS component_id,
+    d.doc_id = least(d.doc_id, coalesce(least, d.doc_id)) AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id
+"""
+
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13),
+w AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM i),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM w),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM f, range(13) AS r(k) WHERE first < doc_id),
+l AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+k AS (SELECT l.doc_id, count(gone.i) AS n_removed,
+    string_agg(word, ' ' ORDER BY l.i) FILTER (WHERE gone.i IS NULL) AS kept
+    FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
 _OP8 = rf"""
 WITH d AS (SELECT doc_id, {_TEXT} AS t, {_WORDS} AS ws FROM documents),
 m AS (SELECT doc_id, t, len(ws)::BIGINT AS n_words,
@@ -138,6 +179,8 @@ SELECT doc_id, bytes, left(right(bin(bits | (1::BIGINT << 60)), 60), s.depth) AS
 
 ORACLES: dict[str, str] = {
     "op1_mixing": _OP1,
+    "op4_near_duplicates": _OP4,
+    "op6_substring_dedup": _OP6,
     "op8_quality_rules": _OP8,
     "op9_line_dedup": _OP9,
     "op10_sharding": _OP10,
