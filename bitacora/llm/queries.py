@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitacora.llm import lines, mixing, near, passages, rules, shards
+from bitacora.llm import (
+    contamination,
+    language,
+    lines,
+    mixing,
+    near,
+    passages,
+    pii,
+    quality,
+    rules,
+    shards,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,16 +30,74 @@ def _op1_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    doc_id = F.col("row.doc_id")
+    return found.select(
+        doc_id.alias("doc_id"), language.held_out(doc_id).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def _op3_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    doc_id = F.col("row.doc_id")
+    return found.select(
+        doc_id.alias("doc_id"),
+        quality.held_out(doc_id).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def _op4_near_duplicates(spark, sf_dir):
     found = near.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _op5_private_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_private(docs)
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(
+                spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+            ),
+            ",",
+        )
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = pii.KINDS[:4]
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(joined(of(*base)), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def _op6_substring_dedup(spark, sf_dir):
     cut = passages.remove_passages(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _op7_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def _op8_quality_rules(spark, sf_dir):
     ledger = rules.ledger(table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -64,8 +133,12 @@ def _op10_sharding(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _op1_mixing,
+    "op2_language_id": _op2_language_id,
+    "op3_quality_classifier": _op3_quality_classifier,
     "op4_near_duplicates": _op4_near_duplicates,
+    "op5_private_data": _op5_private_data,
     "op6_substring_dedup": _op6_substring_dedup,
+    "op7_decontamination": _op7_decontamination,
     "op8_quality_rules": _op8_quality_rules,
     "op9_line_dedup": _op9_line_dedup,
     "op10_sharding": _op10_sharding,
@@ -129,6 +202,26 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
     sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
+_OP7 = rf"""
+WITH b AS (SELECT doc_id, regexp_extract_all(translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+v AS (SELECT item_id, least(13, len(ws)) AS n, ws, unnest(range(1, greatest(1, len(ws) - 12) + 1)) AS i
+    FROM i WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM v),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM b),
+o AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM p, (SELECT DISTINCT n FROM w) WHERE i + n - 1 <= len(ws)),
+h AS (SELECT o.doc_id, o.i, o.n, w.item_id FROM o JOIN w ON w.g = o.g AND w.n = o.n),
+c AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n_hit FROM h, range(13) AS r(k) WHERE k < n GROUP BY doc_id),
+t AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT b.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+    FROM b LEFT JOIN c ON c.doc_id = b.doc_id LEFT JOIN t ON t.doc_id = b.doc_id
+"""
+
 _OP8 = rf"""
 WITH d AS (SELECT doc_id, {_TEXT} AS t, {_WORDS} AS ws FROM documents),
 m AS (SELECT doc_id, t, len(ws)::BIGINT AS n_words,
@@ -181,6 +274,7 @@ ORACLES: dict[str, str] = {
     "op1_mixing": _OP1,
     "op4_near_duplicates": _OP4,
     "op6_substring_dedup": _OP6,
+    "op7_decontamination": _OP7,
     "op8_quality_rules": _OP8,
     "op9_line_dedup": _OP9,
     "op10_sharding": _OP10,
