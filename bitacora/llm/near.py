@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitacora.llm.components import components
-from bitacora.llm.text import mixed, window_hashes, word_hashes
+from bitacora.llm.text import given, mixed, packed, unpacked, window_hashes, word_hashes
 from bitacora.storage import Workspace
 
 SHINGLE, PERCENT = 4, 80
@@ -101,7 +101,7 @@ def bands(bins: np.ndarray) -> np.ndarray:
 
 
 _SKETCHED = (
-    "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>, sketch binary"
+    "doc_id bigint, digest bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>, sketch binary"
 )
 _SETS = "doc_id bigint, set1 bigint, set2 bigint, elements array<bigint>"
 
@@ -113,17 +113,17 @@ def _digest(elements: np.ndarray) -> list[int]:
 
 
 def _sketched(size: int):
-    def row(doc_id, text) -> tuple:
+    def row(doc_id, digest, text) -> tuple:
         s = shingles(text, size)
         if not len(s):
-            return doc_id, 0, 0, 0, [], b""
+            return doc_id, digest, 0, 0, 0, [], b""
         bins = sketch(s)
         tail = bands(bins).view(np.int64).tolist(), bins.astype(np.uint16).tobytes()
-        return doc_id, len(s), *_digest(s), *tail
+        return doc_id, digest, len(s), *_digest(s), *tail
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
-        names = ["doc_id", "n_shingles", "set1", "set2", "bands", "sketch"]
+        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
+        names = ["doc_id", "digest", "n_shingles", "set1", "set2", "bands", "sketch"]
         for batch in batches:
             rows = [row(*given) for given in zip(*(c.to_pylist() for c in batch.columns))]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
@@ -206,6 +206,10 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield packed_pairs(done)
 
 
+def _text_digest(text: Column) -> Column:
+    return F.xxhash64(given(text))
+
+
 class _Search:
     """The tables of one search for near duplicates."""
 
@@ -213,7 +217,8 @@ class _Search:
         self.ws = Workspace(docs.sparkSession)
         self.size = size
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        sketched = self.docs.mapInArrow(_sketched(size), _SKETCHED)
+        given_rows = self.docs.select("doc_id", _text_digest(F.col("text")).alias("digest"), "text")
+        sketched = given_rows.mapInArrow(_sketched(size), _SKETCHED)
         self.rows, _ = self.ws.stage(sketched.withColumn("seq", F.monotonically_increasing_id()))
         key = ["set1", "set2", "n_shingles"]
         first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "seq")).getField("seq")
@@ -331,7 +336,11 @@ class _Search:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, set digest and component_id of every document."""
+    """doc_id, n_shingles and component_id of every document.
+
+    Beside them ``digest`` (of the text) and ``component``, which is also told apart
+    where ids are missing.
+    """
     search = _Search(docs, size)
     groups = search.groups()
     named = groups.join(search.classes.select("id", "doc_id"), "id")
@@ -341,10 +350,34 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         search.classes.select("id", *key)
         .join(groups, "id")
         .join(smallest, "component")
-        .select(*key, "component_id")
+        .select(*key, "component", "component_id")
     )
     return search.rows.join(labels, key, "left").select(
         "doc_id",
+        "digest",
         "n_shingles",
+        F.coalesce("component", "seq").alias("component"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, size: int) -> DataFrame:
+    """One document of each group: that with the smallest id, whole.
+
+    Rows that agree in id and text stay once.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")
+    heads = (
+        near_duplicates(docs, size)
+        .groupBy("component")
+        .agg(first)
+        .select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"))
+        .distinct()
+    )
+    df = packed(
+        docs, id=F.col("doc_id").cast("bigint"), digest=_text_digest(F.col("text"))
+    )
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    once = F.row_number().over(Window.partitionBy("id", "digest").orderBy("digest"))
+    kept = df.join(heads, same).withColumn("once", once).where("once = 1")
+    return unpacked(kept, docs.columns)

@@ -53,7 +53,12 @@ def _op3_quality_classifier(spark, sf_dir):
 
 def _op4_near_duplicates(spark, sf_dir):
     found = near.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
 
 
 def _op5_private_data(spark, sf_dir):

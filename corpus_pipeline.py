@@ -10,11 +10,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitacora.llm import mixing, shards
+from bitacora.llm import contamination, language, mixing, near, shards
 from bitacora.llm.text import unpacked
 from bitacora.storage import Workspace
 
 
+# Words of a shingle, as nothing asks for another number.
+SHINGLE = 5
+# Of 0 to 1; a text scores below when no language stands out.
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without a letter, or like none, go.
+
+    Where no document has a language to learn from, all with a letter stay.
+    """
+    model = language.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, model)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return unpacked(found.where(known), docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near.representatives(docs, SHINGLE)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination.find_contamination(docs, items)
+    return unpacked(found.where(~F.col("contaminated")), docs.columns)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source at its budget of words; repeated in epochs, cut at the end."""
     return mixing.mixed_documents(docs)
@@ -26,6 +57,9 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("language", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
     ("mixing", mixing_stage),
     ("sharding", sharding_stage),
 ]
