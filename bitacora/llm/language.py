@@ -73,9 +73,8 @@ class Landmarks:
         x = np.zeros((len(sets), len(self.grams)), np.float32)
         for row, s in zip(x, sets):
             at = np.searchsorted(self.grams, s)
-            at = at[at < len(self.grams)] if len(s) and s[-1] > self.grams[-1] else at
-            found = at[self.grams[at] == s[: len(at)]]
-            row[found] = len(s) ** -0.5
+            at = at[at < len(self.grams)]
+            row[at[self.grams[at] == s[: len(at)]]] = max(1, len(s)) ** -0.5
         return x @ self.matrix
 
 
