@@ -168,7 +168,7 @@ def _searched(index):
                 counts.append(len(words))
                 for one in index.value:
                     for a, b, item in one.hits(words):
-                        spans[k].append((a, b))
+                        spans[k].append([a, b])
                         if one.names[item] is not None:
                             items[k].append(one.names[item])
                 spans[k], items[k] = merged(spans[k]), sorted(set(items[k]))
