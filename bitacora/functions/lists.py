@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from bitacora.functions.text import strip
 
 
+# A bracketed list in which every double quote opens or closes an item.
+_QUOTED_LIST = r"""\A\[\s*+(?:(?:"[^"]*"|[^",\[\]]*+)\s*+,\s*+)*+(?:"[^"]*"|[^",\[\]]*+)\s*+\]\z"""
+
+
 def folio_key(value: Column) -> Column:
     """Trimmed text; null when it is blank or spells ``nan``."""
     key = strip(value.cast("string"))
@@ -18,13 +22,15 @@ def parse_list(text: Column) -> Column:
     """Folio list from its text form; never null.
 
     Accepts a bracketed list of quoted or bare items and plain comma-separated
-    items.  Blank items are dropped.  Double quotes are only list syntax inside
-    brackets; elsewhere they belong to the item.
+    items.  Blank items are dropped.  Double quotes are only list syntax where they
+    stand in pairs around the items of a bracketed list; elsewhere they belong to
+    the item.
     """
     whole = strip(text)
     bracketed = whole.startswith("[") & whole.endswith("]")
     items = F.translate(whole, "[]'", "")
-    items = F.when(bracketed, F.translate(items, '"', "")).otherwise(items)
+    paired = bracketed & whole.rlike(_QUOTED_LIST)
+    items = F.when(paired, F.translate(items, '"', "")).otherwise(items)
     parts = F.transform(F.split(items, ","), strip)
     parsed = F.filter(parts, lambda item: item != "")
     blank = whole.isNull() | whole.isin("", "nan", "[]")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,10 @@ _MARK = "\ue000"
 
 
 def flatten_dictionary(categories: dict[str, list[str]]) -> dict[str, str]:
-    """Lower-case phrase -> replacement; a blank category replaces by a space."""
+    """Lower-case phrase -> replacement; a blank category replaces by a space.
+
+    An empty phrase is dropped: it would match at every word edge.
+    """
     return {
         phrase.lower(): category if category.strip() else " "
         for category, phrases in categories.items()
@@ -22,21 +27,29 @@ def flatten_dictionary(categories: dict[str, list[str]]) -> dict[str, str]:
     }
 
 
-def _shared_starts(phrases: list[str]) -> str:
+# Groups inside one another in a pattern; phrases that branch deeper are listed.
+_DEEPEST = 50
+
+
+def _shared_starts(phrases: list[str], depth: int = 0) -> str:
     """Alternation in which phrases with the same start share it.
 
     Of two phrases only one of which continues the other, the longer is tried
     first; phrases that part at some character cannot both match.
     """
-    tails: dict[str, list[str]] = {}
-    for phrase in phrases:
-        if phrase:
-            tails.setdefault(phrase[0], []).append(phrase[1:])
-    if not tails:
-        return ""
-    body = "|".join(literal(ch) + _shared_starts(rest) for ch, rest in tails.items())
-    ends_here = "" in phrases
-    return f"(?:{body})" + ("?" if ends_here else "") if ends_here or len(tails) > 1 else body
+    start = os.path.commonprefix(phrases)
+    rests = [p[len(start) :] for p in phrases]
+    if not any(rests):
+        return literal(start)
+    if depth == _DEEPEST:
+        listed = sorted(set(rests), key=len, reverse=True)
+        return literal(start) + f"(?:{'|'.join(map(literal, listed))})"
+    branches: dict[str, list[str]] = {}
+    for rest in rests:
+        if rest:
+            branches.setdefault(rest[0], []).append(rest)
+    body = "|".join(_shared_starts(of, depth + 1) for of in branches.values())
+    return literal(start) + f"(?:{body})" + ("?" if "" in rests else "")
 
 
 def dictionary_pattern(replacements: dict[str, str]) -> str:

@@ -16,9 +16,6 @@ from bitacora.operators.lookup import (
 from bitacora.operators.numbering import number_rows
 from bitacora.storage import Workspace
 
-# A folio that is its own number: such graphs run on integers.
-_INTEGER = r"\A[1-9][0-9]{0,17}\z"
-
 
 def graph_edges(df: DataFrame) -> DataFrame:
     """Undirected edges (src < dst), each once, from all relation columns.
@@ -46,31 +43,34 @@ def graph_nodes(df: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     return own.union(ends).distinct()
 
 
-class _Names:
-    """Names under which vertices take part in a round of the contraction.
+def _renamed(name: Column) -> Column:
+    """A fresh random order of integers in which taking a minimum is cheap.
 
-    Every round needs a fresh random order of the vertices in which taking a
-    minimum is cheap.  Integers are renamed by a hash that maps 64-bit numbers
-    one to one, so no two vertices ever share a name.  Other folios get a hash
-    in front of them.
+    The hash maps 64-bit numbers one to one, so no two ever share a name.
     """
+    return F.xxhash64(name)
 
-    def __init__(self, integers: bool):
-        self.integers = integers
-
-    def first(self, folio: Column) -> Column:
-        if self.integers:
-            return F.xxhash64(folio.cast("bigint"))
-        return self._prefixed(folio, 0)
 
-    def next(self, name: Column, round_: int) -> Column:
-        if self.integers:
-            return F.xxhash64(name)
-        return self._prefixed(F.substring(name, 17, 2**31 - 1), round_)
+def _numbered_ends(
+    edges: DataFrame, count: int, ws: Workspace, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Edges between integers, and the folio that each integer (``id``) stands for.
 
-    @staticmethod
-    def _prefixed(folio: Column, round_: int) -> Column:
-        return F.concat(F.lpad(F.hex(F.xxhash64(F.lit(round_), folio)), 16, "0"), folio)
+    Folios are any text; every one on an edge gets a number, so that all graphs
+    are contracted in the same way.
+    """
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("folio")).distinct()
+    numbers = number_rows(ends, "folio", "id", ws)
+    limit = hot_limit(count, hot_rows)
+    found = edges
+    for end in ("src", "dst"):
+        table = numbers.select(F.col("folio").alias(end), F.col("id").alias(f"{end}_id"))
+        hot = None
+        if count >= limit:
+            keys = frequent_keys(edges, end, limit)
+            hot = table.join(F.broadcast(keys), end, "left_semi")
+        found = keyed_lookup(found, table, end, spread_by=F.struct("src", "dst"), hot=hot)
+    return found.select("src_id", "dst_id"), numbers
 
 
 def connected_components(
@@ -86,18 +86,17 @@ def connected_components(
     tables shrink geometrically.  Labels come from following the merges back,
     smallest table first.
 
-    ``edges`` holds (src, dst) of distinct strings.
+    ``edges`` holds (src, dst) of distinct strings; labels are integers.
     """
     ws = ws or Workspace(edges.sparkSession)
-    given, seen = ws.stage(
-        edges.select("src", "dst"),
-        edges=F.count(F.lit(1)),
-        integers=F.min(F.col("src").rlike(_INTEGER) & F.col("dst").rlike(_INTEGER)),
-    )
-    names = _Names(seen["integers"] is not False)
+    given, seen = ws.stage(edges.select("src", "dst"), edges=F.count(F.lit(1)))
     count = figures_edges = seen["edges"]
-    current = given.select(
-        names.first(F.col("src")).alias("a"), names.first(F.col("dst")).alias("b")
+    if not count:
+        empty = edges.sparkSession.createDataFrame([], "folio string, label bigint")
+        return empty, {"edges": 0, "rounds": 0}
+    ids, numbers = _numbered_ends(given, count, ws, hot_rows)
+    current = ids.select(
+        _renamed(F.col("src_id")).alias("a"), _renamed(F.col("dst_id")).alias("b")
     )
     merges: list[tuple[DataFrame, int]] = []
     while count:
@@ -126,7 +125,7 @@ def connected_components(
                 spread_by=F.struct("a", "b"),
                 hot=table.where(F.col("degree") >= limit).drop("degree") if is_hot else None,
             )
-        a, b = (names.next(F.col(f"{end}_into"), len(merges)) for end in ("a", "b"))
+        a, b = (_renamed(F.col(f"{end}_into")) for end in ("a", "b"))
         current, seen = ws.stage(
             moved.where(F.col("a_into") != F.col("b_into"))
             .select(a.alias("x"), b.alias("y"))
@@ -137,8 +136,6 @@ def connected_components(
         count = seen["edges"]
 
     figures = {"edges": figures_edges, "rounds": len(merges)}
-    if not merges:
-        return edges.sparkSession.createDataFrame([], "folio string, label bigint"), figures
     # Labels are names of the last round.  A vertex whose edges are all gone does
     # not occur in the later rounds; renaming it up to the last one keeps its
     # label apart from every other.
@@ -147,11 +144,11 @@ def connected_components(
     for at in range(last - 1, -1, -1):
         merge, rows = merges[at]
         step = merge.select(
-            F.col("name").alias("_from"), names.next(F.col("into"), at + 1).alias("name")
+            F.col("name").alias("_from"), _renamed(F.col("into")).alias("name")
         )
         complete = F.col("name")
-        for later in range(at + 2, last + 1):
-            complete = names.next(complete, later)
+        for _ in range(at + 2, last + 1):
+            complete = _renamed(complete)
         hot, limit = None, hot_limit(rows, hot_rows)
         if rows >= limit:
             labels, _ = ws.stage(labels)
@@ -160,8 +157,7 @@ def connected_components(
         labels = keyed_lookup(step, labels, "name", spread_by=F.col("_from"), hot=hot).select(
             F.col("_from").alias("name"), F.coalesce("label", complete).alias("label")
         )
-    ends = given.select(F.explode(F.array("src", "dst")).alias("folio")).distinct()
-    named = ends.withColumn("name", names.first(F.col("folio")))
+    named = numbers.withColumn("name", _renamed(F.col("id")))
     return named.join(labels, "name").select("folio", "label"), figures
 
 
@@ -182,9 +178,11 @@ def component_table(
     ws = ws or Workspace(df.sparkSession)
     edges = graph_edges(df) if edges is None else edges
     rounds = Workspace(df.sparkSession)
-    labels, _ = connected_components(edges, rounds, hot_rows)
-    labels, seen = ws.stage(labels, folios=F.count(F.lit(1)))
-    rounds.remove()
+    try:
+        labels, _ = connected_components(edges, rounds, hot_rows)
+        labels, seen = ws.stage(labels, folios=F.count(F.lit(1)))
+    finally:
+        rounds.remove()
 
     place = F.col(f"`{order}`") if order else folio_key(F.col("Folio"))
     own = (

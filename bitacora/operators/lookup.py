@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # A key with at least this many rows is hot.
 HOT_ROWS = 1_000_000
-# No more than this many keys are ever hot: the limit rises with the table.
-MAX_HOT_KEYS = 50_000
+# No more than this many keys are ever hot, about 40 bytes each: beyond as many
+# million rows the limit rises with the table.
+MAX_HOT_KEYS = 1_000_000
 
 _SALTS = 4096
 

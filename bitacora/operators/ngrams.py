@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitacora.functions.dialect import WORD
 from bitacora.functions.text import without_stop_words
+from bitacora.operators.numbering import number_rows
+from bitacora.storage import Workspace
 
 
 def tokens(text: Column, use_stop_words: bool = True) -> Column:
@@ -89,12 +91,20 @@ def top_ngrams(
     )
 
 
-def substitution_map(top: DataFrame, prefix: str = "TOKEN") -> DataFrame:
+def substitution_map(
+    top: DataFrame, prefix: str = "TOKEN", order: str | None = None
+) -> DataFrame:
     """(phrase, token, rank) for the rows of ``top_ngrams``: <<PREFIX_1>> and on.
 
-    ``top`` has top_k rows, so the window over all of them is small.
+    Ranks follow the column ``order``, which is distinct per row, or else the
+    frequency.  A phrase given twice keeps its last token.  Rows are numbered by
+    ranges: ``top`` may be any frame.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("freq").desc(), "phrase")).cast("bigint")
-    return top.select("phrase", rank.alias("rank")).select(
+    place = F.col(f"`{order}`") if order else F.struct(-F.col("freq"), "phrase")
+    ranked = number_rows(
+        top.select("phrase", place.alias("_place")), "_place", "rank", Workspace(top.sparkSession)
+    )
+    last = ranked.groupBy("phrase").agg(F.max("rank").cast("bigint").alias("rank"))
+    return last.select(
         "phrase", F.format_string(f"<<{prefix.replace('%', '%%')}_%d>>", "rank").alias("token"), "rank"
     )

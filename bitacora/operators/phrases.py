@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitacora.functions.dialect import replacement, whole_phrase
@@ -12,13 +12,28 @@ from bitacora.functions.text import collapse_spaces
 def _replace_each(df: DataFrame, text: str, pairs: list[tuple[str, str]]) -> DataFrame:
     """Replaces each phrase in turn, longest first, in what the last one left.
 
-    A phrase is only searched by its pattern in rows that contain it at all.
+    The phrases are one array that a fold goes through, so the plan is the same for
+    any number.  A phrase is only searched by its pattern in rows that contain it.
     """
-    column = F.col(f"`{text}`")
-    for phrase, new in sorted(pairs, key=lambda pair: len(pair[0]), reverse=True):
-        changed = F.regexp_replace(column, whole_phrase(phrase), replacement(new))
-        df = df.withColumn(text, F.when(column.contains(phrase), changed).otherwise(column))
-    return df.withColumn(text, collapse_spaces(column))
+    if not pairs:
+        return df.withColumn(text, collapse_spaces(F.col(f"`{text}`")))
+    longest_first = sorted(pairs, key=lambda pair: len(pair[0]), reverse=True)
+    steps = F.array(
+        *[
+            F.struct(
+                F.lit(phrase).alias("phrase"),
+                F.lit(whole_phrase(phrase)).alias("pattern"),
+                F.lit(replacement(new)).alias("new"),
+            )
+            for phrase, new in longest_first
+        ]
+    )
+
+    def step(done: Column, at: Column) -> Column:
+        changed = F.regexp_replace(done, at["pattern"], at["new"])
+        return F.when(done.contains(at["phrase"]), changed).otherwise(done)
+
+    return df.withColumn(text, collapse_spaces(F.aggregate(steps, F.col(f"`{text}`"), step)))
 
 
 def remove_phrases(df: DataFrame, text: str, phrases: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitacora.operators.lookup import HOT_ROWS, frequent_keys, keyed_lookup
+from bitacora.operators.lookup import HOT_ROWS, frequent_keys, hot_limit, keyed_lookup
 from bitacora.sources.dictionaries import Precincts, default_precincts
 
 
@@ -13,6 +13,7 @@ def assign_precinct(
     df: DataFrame,
     precincts: Precincts | None | str = "default",
     municipality: str = "Municipio",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sets ``comisaria`` from the municipality, ignoring case but not spaces.
 
@@ -27,14 +28,20 @@ def assign_precinct(
     rows = df.drop("comisaria").withColumn("_name", F.upper(F.col(f"`{municipality}`")))
     if precincts.is_small:
         return rows.join(F.broadcast(names), "_name", "left").drop("_name")
-    # Too large to ship: only the entries of frequent municipalities are, of
-    # which there is at most one per HOT_ROWS rows.
-    frequent = frequent_keys(rows, "_name", HOT_ROWS)
+    if df.isStreaming:
+        # No counts of a stream: a plain join.
+        return rows.join(names, "_name", "left").drop("_name")
+    # Too large to ship: only the entries of frequent municipalities are.
+    hot, count = None, rows.count()
+    limit = hot_limit(count, hot_rows)
+    if count >= limit:
+        frequent = frequent_keys(rows, "_name", limit)
+        hot = names.join(F.broadcast(frequent), "_name", "left_semi")
     return keyed_lookup(
         rows,
         names,
         "_name",
         spread_by=F.monotonically_increasing_id(),
-        hot=names.join(F.broadcast(frequent), "_name", "left_semi"),
+        hot=hot,
         null_keys=True,
     ).drop("_name")

@@ -20,16 +20,17 @@ def attach_groups(
     """Adds ``Folio_Key``, ``Grupo_ID`` and ``Tamano_Grupo`` to every row.
 
     Rows without a folio or without a group keep null group columns.  ``rows``
-    is the row count where it is known; a table too small for a hot folio skips
-    looking for one.  ``row_id`` is a column that tells the rows apart.
+    is the row count where it is known, else they are counted; a table too small
+    for a hot folio skips looking for one.  ``row_id`` is a column that tells the rows apart.
     """
     keyed = df.withColumn("Folio_Key", folio_key(F.col("Folio")))
     table = groups.select(
         folio_key(F.col("Folio")).alias("Folio_Key"), "Grupo_ID", "Tamano_Grupo"
     )
     hot = None
-    limit = hot_limit(rows or 0, hot_rows)
-    if rows is None or rows >= limit:
+    rows = df.count() if rows is None else rows
+    limit = hot_limit(rows, hot_rows)
+    if rows >= limit:
         hot = table.join(
             F.broadcast(frequent_keys(keyed, "Folio_Key", limit)), "Folio_Key", "left_semi"
         )

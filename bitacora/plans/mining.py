@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame
 
 from bitacora.operators.ngrams import substitution_map, top_ngrams
 from bitacora.operators.phrases import collapse_phrases, remove_phrases
+from bitacora.storage import Workspace
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The texts, computed once: they are mined first and rewritten after."""
+    return Workspace(df.sparkSession).stage(df)[0]
 
 
 def mine_map(
@@ -20,9 +26,11 @@ def tokenize_frequent(
     df: DataFrame, text: str = "text", prefix: str = "TOKEN", **options
 ) -> DataFrame:
     """Texts with their own most frequent n-grams replaced by tokens."""
+    df = _written(df)
     return collapse_phrases(df, text, mine_map(df, text, prefix, **options))
 
 
 def drop_frequent(df: DataFrame, text: str = "text", **options) -> DataFrame:
     """Texts without their own most frequent n-grams."""
+    df = _written(df)
     return remove_phrases(df, text, list(mine_map(df, text, **options)))

@@ -33,6 +33,12 @@ class Result:
     rows: DataFrame  # every report row, its group and the flag ``_apart``
     groups: DataFrame
     counts: dict[str, int] = field(default_factory=dict)
+    ws: Workspace | None = None
+
+    def close(self) -> None:
+        """Deletes the tables behind the frames, which stop working."""
+        if self.ws:
+            self.ws.remove()
 
     @property
     def clean(self) -> DataFrame:
@@ -50,23 +56,27 @@ def analyze(
     phrases: dict[str, list[str]] | None = PHRASES,
     ws: Workspace | None = None,
     hot_rows: int = HOT_ROWS,
+    keep_groups: bool = True,
 ) -> Result:
     """Report, graph and separation of raw incident rows.
 
     The processed report is written to the workspace once: the graph reads four
     narrow columns of it and the join back reads the rest, and the row order is
-    fixed by then.  Without ``order`` groups are numbered by folio.
+    fixed by then.  Without ``order``, or where a plain frame has none, groups are
+    numbered by folio.  ``keep_groups=False`` spares writing the groups, for callers
+    that read them with the rows only.
     """
     ws = ws or Workspace(df.sparkSession)
+    order = None if order == ORDER and ORDER not in df.columns else order
     kind = F.col("`Tipo de Incidente`")
     counted = check_columns(df).withColumn("_excluded", is_excluded(kind))
     report, seen = _stage_report(counted, order, precincts, phrases, ws)
-    groups, _ = ws.stage(
-        component_table(report, order, ws, hot_rows, edges=graph_edges(report))
-    )
+    groups = component_table(report, order, ws, hot_rows, edges=graph_edges(report))
+    if keep_groups:
+        groups, _ = ws.stage(groups)
     grouped = attach_groups(report, groups, seen["kept"], order, hot_rows)
     rows = grouped.withColumn(APART, is_cancelled(grouped) & is_isolated())
-    return Result(rows, groups, seen)
+    return Result(rows, groups, seen, ws)
 
 
 def _stage_report(counted, order, precincts, phrases, ws):
@@ -131,7 +141,9 @@ def run(
     ws = Workspace(spark)
     try:
         raw = read_report(spark, input_path, **read_options)
-        result = analyze(raw, ORDER, precincts, phrases, ws)
+        result = analyze(
+            raw, ORDER, precincts, phrases, ws, keep_groups=bool(relations_path)
+        )
         flag = F.col(APART)
         measures = {"cancelled_isolated": F.count_if(flag), "clean": F.count_if(~flag)}
         seen = Observation()

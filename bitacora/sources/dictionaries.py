@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitacora.fixed_values import PHRASES, PRECINCTS
+from bitacora.sources.reports import literal_path
 
 log = logging.getLogger(__name__)
 
@@ -27,10 +28,12 @@ class Precincts:
 
 
 def _read_whole(spark: SparkSession, path: str) -> DataFrame | None:
-    """One row per file: text and size; None when the path does not exist."""
+    """One row per file: text, path and size; None when the path does not exist."""
     try:
-        return spark.read.text(path, wholetext=True).select(
-            "value", F.col("_metadata.file_size").alias("bytes")
+        return spark.read.text(literal_path(spark, path), wholetext=True).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("bytes"),
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -47,7 +50,7 @@ def default_precincts(spark: SparkSession) -> Precincts:
 def load_precincts(spark: SparkSession, path: str) -> Precincts | None:
     """Precincts from a JSON object id -> [municipality, ...].
 
-    Where a municipality occurs more than once the last id wins.  A missing
+    Where a municipality occurs more than once the last id wins, of the last file.  A missing
     file gives None; text that is not such an object is an error.
     """
     raw = _read_whole(spark, path)
@@ -57,14 +60,15 @@ def load_precincts(spark: SparkSession, path: str) -> Precincts | None:
     size = raw.agg(F.sum("bytes")).first()[0] or 0
     parsed = F.from_json("value", "map<string,array<string>>", {"mode": "FAILFAST"})
     frame = (
-        raw.select(F.posexplode(F.map_entries(parsed)).alias("_id_at", "_entry"))
+        raw.select("file", F.posexplode(F.map_entries(parsed)).alias("_id_at", "_entry"))
         .select(
+            "file",
             "_id_at",
             F.col("_entry.key").alias("comisaria"),
             F.posexplode("_entry.value").alias("_name_at", "_name"),
         )
         .groupBy(F.upper("_name").alias("municipio"))
-        .agg(F.max_by("comisaria", F.struct("_id_at", "_name_at")).alias("comisaria"))
+        .agg(F.max_by("comisaria", F.struct("file", "_id_at", "_name_at")).alias("comisaria"))
     )
     return Precincts(frame, size <= BROADCAST_BYTES)
 
@@ -73,7 +77,8 @@ def load_phrases(spark: SparkSession, path: str | None = None) -> dict[str, list
     """Phrases from a JSON object category -> [phrase, ...].
 
     None, meaning that no phrase is replaced, for a missing or broken file.
-    The phrases become one search pattern, so the file has to be small.
+    Several files count as one, in the order of their paths.  The phrases become
+    part of the plan, so all of them pass through the driver.
     """
     if path is None:
         return PHRASES
@@ -81,11 +86,12 @@ def load_phrases(spark: SparkSession, path: str | None = None) -> dict[str, list
     if raw is None:
         log.warning("no phrase dictionary at %s: phrases are kept", path)
         return None
-    if (raw.agg(F.sum("bytes")).first()[0] or 0) > BROADCAST_BYTES:
-        raise ValueError(f"phrase dictionary {path} is too large for one pattern")
+    found: dict[str, list[str]] = {}
     try:
-        data = json.loads(raw.first()["value"])
-        return {str(k): [str(p) for p in v] for k, v in data.items()} or None
+        for row in raw.orderBy("file").collect():
+            for category, phrases in json.loads(row["value"]).items():
+                found.setdefault(str(category), []).extend(str(p) for p in phrases)
+        return found or None
     except (ValueError, AttributeError, TypeError) as error:
         log.warning("cannot read phrase dictionary %s: %s", path, error)
         return None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,27 @@ _BROKEN = "_corrupt_record"
 _CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
 
 
+def _escaped(path: str) -> str:
+    """A path that matches only itself where patterns are allowed."""
+    return "".join("\\" + ch if ch in "{}[]*?\\" else ch for ch in path)
+
+
+def literal_path(spark: SparkSession, path: str | list[str]) -> str | list[str]:
+    """``path``, escaped where a file or folder of just that name exists."""
+    if not isinstance(path, str):
+        return [literal_path(spark, p) for p in path]
+    if _escaped(path) == path:
+        return path
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return _escaped(path) if system.exists(place) else path
+
+
+def _named_file(uri: str) -> str:
+    """The path of a file from the address that a scan gives for it."""
+    return _escaped(unquote(uri))
+
+
 def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, latin1, multiline) for every input file, from one pass over its lines.
 
@@ -65,6 +87,28 @@ def _column_names(
     return names, names == list(first)
 
 
+def _check_headers(
+    spark: SparkSession, path: str | list[str], width: int, options: dict
+) -> None:
+    """Raises unless all files have the same first record."""
+    cells = [f"c{i}" for i in range(width + 1)]
+    schema = StructType([StructField(c, StringType()) for c in cells])
+    records = spark.read.schema(schema).options(header=False, **options).csv(path)
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    firsts = (
+        records.select(
+            F.col("_metadata.file_path").alias("file"), at.alias("at"), F.struct(*cells).alias("cells")
+        )
+        .groupBy("file")
+        .agg(F.min_by("cells", "at").alias("cells"))
+        .select("cells")
+        .distinct()
+        .take(2)
+    )
+    if len(firsts) > 1:
+        raise ValueError(f"headers differ between files: {firsts[0].cells} and {firsts[1].cells}")
+
+
 def _field_count(record: Column) -> Column:
     """Number of fields in the text of one CSV record."""
     bare = F.regexp_replace(record, r'"[^"]*"', "")
@@ -128,6 +172,7 @@ def read_report(
     """
     if long_rows not in ("fail", "keep"):
         raise ValueError("long_rows is 'fail' or 'keep'")
+    path = literal_path(spark, path)
     if encoding is not None and multiline is not None:
         kinds = {(encoding, multiline): path}
     else:
@@ -139,7 +184,7 @@ def read_report(
                 found if encoding is None else encoding,
                 row["multiline"] if multiline is None else multiline,
             )
-            kinds.setdefault(kind, []).append(row["file"])
+            kinds.setdefault(kind, []).append(_named_file(row["file"]))
         if len(kinds) == 1:
             kinds = {kind: path for kind in kinds}
     if not kinds:
@@ -153,8 +198,11 @@ def read_report(
             names = header
         elif header != names:
             raise ValueError(f"headers differ between files: {names} and {header}")
-        # Unless names were made up, every file is checked to have this header.
+        # Every file is checked to have this header: by the scan, which compares
+        # names, or here where the names had to be made up.
         options["enforceSchema"] = not as_written
+        if not as_written:
+            _check_headers(spark, files, len(names), options)
         part = _read_alike(spark, files, names, options, long_rows)
         parts.append(spread_rows(part) if spans_lines else part)
     return missing_to_null(reduce(DataFrame.unionByName, parts), names)
