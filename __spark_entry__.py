@@ -22,29 +22,26 @@ from bitacora import (  # noqa: E402
     format_list,
     graph_edges,
     graph_nodes,
+    load_phrases,
+    load_precincts,
     normalize_text,
     parse_list,
     remove_phrases,
     run,
+    separate_to_files,
     substitution_map,
     tokenize_frequent,
     top_ngrams,
 )
-from bitacora.fixed_values import (  # noqa: E402
-    CANCELLED_PATTERN,
-    DATE_PATTERN,
-    LINKED_PATTERN,
-    PRECINCTS,
-    REFERENCE_PATTERN,
-    SPLIT_PATTERN,
-    TIME_PATTERN,
-)
+from bitacora.fixed_values import PRECINCTS, REQUIRED_COLUMNS  # noqa: E402
 from bitacora.fixed_values import SPANISH_STOP_WORDS as STOP_WORDS  # noqa: E402
 from bitacora.fixture import INCIDENTS_SQL, ROW, incidents  # noqa: E402
 from bitacora.functions.lists import prioritized_distinct  # noqa: E402
+from bitacora.functions.phrases import flatten_dictionary, replace_phrases  # noqa: E402
 from bitacora.functions.text import repair_mojibake  # noqa: E402
 from bitacora.operators.graph import connected_components  # noqa: E402
-from bitacora.operators.rows import spread_rows  # noqa: E402
+from bitacora.operators.rows import check_columns, spread_rows  # noqa: E402
+from bitacora.operators.separation import attach_groups  # noqa: E402
 from bitacora.plans.pipeline import analyze  # noqa: E402
 from bitacora.plans.report import process_rows  # noqa: E402
 from bitacora.sources.reports import ORDER, read_report  # noqa: E402
@@ -193,7 +190,11 @@ def _pipeline_files(spark, sf_dir):
     final = spark.read.csv(out, header=True, multiLine=True, quote='"', escape='"')
     return final.select(
         "Folio",
+        F.col(f"`{TYPE}`").alias("tipo"),
         "comisaria",
+        "Municipio",
+        "Divididos",
+        "Nota",
         "folios_ligados",
         "cancelados",
         "referencia_folio",
@@ -339,6 +340,139 @@ def _drop_frequent(spark, sf_dir):
     return drop_frequent(_normal_documents(spark, sf_dir), "text")
 
 
+def _read_latin1_report(spark, sf_dir):
+    """Half of the incidents in UTF-8, half in Latin-1, under awkward names."""
+    ws = Workspace(spark)
+    raw = incidents(spark, sf_dir).withColumn("Notas", F.replace("Notas", F.lit("Ã±"), F.lit("ñ")))
+    folders = []
+    for odd, (name, charset) in enumerate(
+        [("enero 1 [a] {b}", "UTF-8"), ("año 100%+ñ (2)", "ISO-8859-1")]
+    ):
+        folders.append(f"{ws.path}/{name}")
+        half = raw.where(F.col(ROW) % 2 == odd)
+        half.write.options(header=True, encoding=charset, quote='"', escape='"').csv(folders[-1])
+    report = read_report(spark, folders)
+    return report.select(F.col(ROW).cast("bigint").alias(ROW), "Folio", "Municipio", "Notas")
+
+
+def _named_customers(spark, sf_dir):
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return nations, customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def _write_dictionary(nations, path, key):
+    """JSON objects region -> [nation, ...], one file per region."""
+    named = nations.groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("names"))
+    entry = F.to_json(F.create_map(F.concat(F.lit(key), F.col("n_regionkey").cast("string")), "names"))
+    named.select(entry.alias("value")).repartition(5).write.text(path)
+
+
+def _precincts_from_json(spark, sf_dir):
+    nations, customers = _named_customers(spark, sf_dir)
+    path = f"{Workspace(spark).path}/comisarias.json"
+    _write_dictionary(nations, path, "")
+    named = customers.withColumn("Municipio", F.lower("n_name"))
+    return assign_precinct(named, load_precincts(spark, path)).select(
+        "c_custkey", "Municipio", "comisaria"
+    )
+
+
+def _phrases_from_json(spark, sf_dir):
+    nations, customers = _named_customers(spark, sf_dir)
+    path = f"{Workspace(spark).path}/frases.json"
+    _write_dictionary(nations, path, "region_")
+    phrases = flatten_dictionary(load_phrases(spark, path))
+    text = F.concat(F.lit("cliente de "), F.initcap("n_name"), F.lit(", con saldo"))
+    return replace_phrases(customers.withColumn("texto", text), "texto", phrases, "nota").select(
+        "c_custkey", "nota"
+    )
+
+
+def _missing_dictionaries(spark, sf_dir):
+    """Without dictionaries precincts stay empty and phrases stay in the text."""
+    nowhere = f"{Workspace(spark).path}/none.json"
+    report = process_rows(
+        incidents(spark, sf_dir), load_precincts(spark, nowhere), load_phrases(spark, nowhere), (ROW,)
+    )
+    return report.select(ROW, "comisaria", "Nota")
+
+
+def _three_outputs(spark, sf_dir):
+    """Cancelled rows, clean rows and relations as files, with their columns."""
+    ws = Workspace(spark)
+    report = _report(spark, sf_dir)
+    paths = {part: f"{ws.path}/{part}" for part in ("cancelados", "limpios", "relaciones")}
+    separate_to_files(report, component_table(report, ROW), *paths.values())
+    parts = []
+    for part, path in paths.items():
+        back = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+        group = "Grupo_ID" in back.columns
+        parts.append(
+            back.select(
+                F.lit(part).alias("parte"),
+                "Folio",
+                F.lit(int(group)).cast("bigint").alias("con_grupo"),
+                (F.col("Grupo_ID") if group else F.lit(None)).cast("bigint").alias("grupo"),
+            )
+        )
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def _absent_relation_column(spark, sf_dir):
+    return graph_edges(_report(spark, sf_dir).drop("Divididos", "referencia_folio"))
+
+
+def _repeated_folios(spark, sf_dir):
+    """Every incident once per line of its order: all of them get its group."""
+    report = _report(spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    rows = report.join(lines, F.col(ROW) == F.col("l_orderkey"))
+    grouped = attach_groups(rows, component_table(report, ROW))
+    return grouped.select(ROW, "l_linenumber", "Folio_Key", "Grupo_ID", "Tamano_Grupo")
+
+
+def _unknown_characters(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text").withColumn(
+        "text", F.replace("text", F.lit("e "), F.lit("\ufffd"))
+    )
+    return docs.select(
+        "doc_id",
+        normalize_text(F.col("text")).alias("sin"),
+        normalize_text(F.col("text"), keep_unk=True).alias("con"),
+    )
+
+
+def _required_columns(spark, sf_dir):
+    """Rows of the incidents, and which required column its absence is noticed of."""
+    raw = incidents(spark, sf_dir)
+    noticed = []
+    for column in REQUIRED_COLUMNS:
+        try:
+            check_columns(raw.drop(column))
+        except ValueError as error:
+            noticed += [c for c in REQUIRED_COLUMNS if repr(c) in str(error)]
+    names = F.explode(F.array(*[F.lit(c) for c in noticed]))
+    return check_columns(raw).select(names.alias("columna")).groupBy("columna").agg(
+        F.count(F.lit(1)).alias("filas")
+    )
+
+
+def _components_of_mixed_folios(spark, sf_dir):
+    """Relations to folios with letters and leading zeros among plain numbers."""
+    mixed = (
+        F.when(F.col(ROW) % 3 == 0, F.concat(F.lit("A"), (F.col(ROW) % 97).cast("string")))
+        .when(F.col(ROW) % 3 == 1, F.concat(F.lit("00"), (F.col(ROW) % 89).cast("string")))
+        .otherwise((1000000000 + F.col(ROW) + 6).cast("string"))
+    )
+    raw = incidents(spark, sf_dir).withColumn(
+        "Divididos", F.when(F.col(ROW) % 5 == 0, mixed).otherwise(F.col("Divididos"))
+    )
+    labels, _ = connected_components(graph_edges(process_rows(raw, keep=(ROW,))))
+    smallest = labels.groupBy("label").agg(F.min("folio").alias("componente"))
+    return labels.join(smallest, "label").select("folio", "componente")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or composition."""
     return own_queries() | _llm_queries()
@@ -386,6 +520,16 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "collapse_phrases": _collapse_phrases,
         "tokenize_frequent": _tokenize_frequent,
         "drop_frequent": _drop_frequent,
+        "read_latin1_report": _read_latin1_report,
+        "precincts_from_json": _precincts_from_json,
+        "phrases_from_json": _phrases_from_json,
+        "missing_dictionaries": _missing_dictionaries,
+        "three_outputs": _three_outputs,
+        "absent_relation_column": _absent_relation_column,
+        "repeated_folios": _repeated_folios,
+        "unknown_characters": _unknown_characters,
+        "required_columns": _required_columns,
+        "components_of_mixed_folios": _components_of_mixed_folios,
     }
 
 
@@ -421,10 +565,14 @@ def _trimmed(text: str) -> str:
     return f"trim({_sub(text, spaces, ' ')})"
 
 
+_DATE = r"\p{Nd}{1,2}[/-]\p{Nd}{1,2}[/-]\p{Nd}{2,4}"
+_TIME = r"\p{Nd}{1,2}:\p{Nd}{2}(?::\p{Nd}{2})?"
+
+
 def _normal(text: str) -> str:
     text = f"lower(replace(replace({text}, 'Ã±', 'ñ'), chr(65533), ' '))"
-    for pattern in (DATE_PATTERN, TIME_PATTERN):
-        text = _whole(text, pattern.format(n=r"\p{Nd}"), " ")
+    for pattern in (_DATE, _TIME):
+        text = _whole(text, pattern, " ")
     return f"coalesce(trim({_sub(text, _N + '+', ' ')}), '')"
 
 
@@ -436,15 +584,18 @@ def _without_stop_words(words: str) -> str:
     return f"list_filter({words}, lambda w: NOT list_contains({_in_list(STOP_WORDS)}, w))"
 
 
-def _folio_pattern(parts: tuple[str, str, str]) -> str:
-    """Valid references only: no invalid one gets in the way in these notes."""
-    return "".join(parts).format(n=r"(\d{10})", s=r"\s", w=r"\p{L}\p{N}_")
-
-
-_SPLIT = _folio_pattern(SPLIT_PATTERN)
-_LINKED = _folio_pattern(LINKED_PATTERN)
-_CANCELLED = _folio_pattern(CANCELLED_PATTERN)
-_REFERENCE = _folio_pattern(REFERENCE_PATTERN)
+# Written out here, not taken from the library: it is what they check.  Only valid
+# references: no invalid one gets in the way in these notes.
+_SPLIT = (
+    r"(?:El incidente |Folio )?(\d{10})\s+se dividio\s+(?:a|al folio)\s+(\d{10})"
+    r"(?:.*?por [\p{L}\p{N}_() ]+)?"
+)
+_LINKED = (
+    r"(?:El incidente |Folio )?(\d{10})\s+(?:ha sido |se ha )?ligado\s+(?:al?|con el?)\s*"
+    r"(?:incidente|folio)?\s*(\d{10})"
+)
+_CANCELLED = r"(?:El incidente |Folio )?(\d{10})\s+(?:fue )?cancelado\s+por\s+[\p{L}\p{N}_() ]+"
+_REFERENCE = r"(?:EN )?REFERENCIA\s+(?:A\s+|AL\s+)?(?:FOLIO\s+)?(\d{10})"
 # The dictionary phrases that occur in the incidents.
 _PHRASES = [
     ("enterado monitoreo conforme", "monitoreo_seguimiento"),
@@ -469,11 +620,11 @@ def _columns(*lists: str) -> str:
     return ", ".join(f"{_as_text(c)} AS {c}" for c in lists)
 
 
-def _rest() -> str:
+def _rest(phrases: list[tuple[str, str]]) -> str:
     text = "n"
     for pattern in (_SPLIT, _LINKED, _CANCELLED, _REFERENCE):
         text = _sub(text, pattern, "", "gi")
-    for phrase, category in _PHRASES:
+    for phrase, category in phrases:
         text = _sub(text, rf"\b{phrase}\b", category, "gi")
     return _trimmed(text)
 
@@ -487,7 +638,7 @@ pairs AS (SELECT *, {_found("n", _LINKED, 1)} AS l1, {_found("n", _LINKED, 2)} A
 notes AS (SELECT fila, Folio, tipo, Municipio, Divididos, cancelado,
   list_concat(l1, l2) AS folios_ligados,
   list_filter(referencia, lambda x: NOT list_contains(list_concat(l1, l2), x)) AS referencia_folio,
-  target AS dividido_a, origin AS dividido_de, {_rest()} AS nota_limpia FROM pairs)"""
+  target AS dividido_a, origin AS dividido_de, {_rest(_PHRASES)} AS nota_limpia, {_rest([])} AS sin_frases FROM pairs)"""
 _PRECINCT_ROWS = ", ".join(
     f"({_quoted(name)}, {_quoted(pid)})" for pid, names in PRECINCTS.items() for name in names
 )
@@ -502,9 +653,9 @@ _LIST = (
     f"list_filter(list_transform(string_split({_sub("coalesce(Divididos, '')", _BRACKETS, '')}, ','), "
     "lambda x: trim(x)), lambda x: x <> '')"
 )
+_LINKS = f"list_concat({_LIST}, folios_ligados, referencia_folio)"
 _EDGES = f"""{_REPORT},
-links AS (SELECT Folio AS a,
-  unnest(list_concat({_LIST}, folios_ligados, referencia_folio)) AS b FROM report),
+links AS (SELECT Folio AS a, unnest({_LINKS}) AS b FROM report),
 edges AS (SELECT DISTINCT least(a, b) AS src, greatest(a, b) AS dst FROM links WHERE a <> b),
 nodes AS (SELECT Folio AS folio FROM report UNION SELECT src FROM edges UNION SELECT dst FROM edges)"""
 _COMPONENTS = f"""RECURSIVE {_EDGES},
@@ -558,6 +709,18 @@ def _replaced(new: str) -> str:
     return f"WITH {_MINED} SELECT doc_id, {_trimmed(folded + '[1]')} AS text FROM plain, steps"
 
 
+_MIXED = (
+    "CASE WHEN fila % 5 <> 0 THEN Divididos WHEN fila % 3 = 0 THEN 'A' || fila % 97 "
+    "WHEN fila % 3 = 1 THEN '00' || fila % 89 ELSE (1000000006 + fila)::VARCHAR END"
+)
+
+
+def _mixed_components() -> str:
+    renamed = f"report AS (SELECT * REPLACE ({_MIXED} AS Divididos) FROM processed),\nlinks AS ("
+    sql = _COMPONENTS.replace("\nreport AS (", "\nprocessed AS (").replace("\nlinks AS (", "\n" + renamed)
+    return f"WITH {sql} SELECT folio, root AS componente FROM labelled WHERE size > 1"
+
+
 def _phrases_replaced(new: Callable[[int], str]) -> str:
     text = "text"
     for phrase in sorted(PHRASES, key=len, reverse=True):
@@ -634,7 +797,8 @@ def own_sql() -> dict[str, str]:
         "FROM flagged",
         "cancelled_by_precinct": f"WITH {_REPORT} SELECT comisaria, count(*) AS cancelados "
         "FROM report WHERE len(cancelados) > 0 GROUP BY comisaria",
-        "pipeline_files": f"WITH {_COMPONENTS} SELECT Folio, comisaria, {lists}, "
+        "pipeline_files": f"WITH {_COMPONENTS} SELECT Folio, tipo, comisaria, Municipio, Divididos, "
+        f"nullif(Nota, '') AS \"Nota\", {lists}, "
         f'Folio AS "Folio_Key", {group} FROM flagged WHERE NOT apart',
         "top_ngrams": f"WITH {_TOP} SELECT phrase, freq FROM top",
         "top_ngrams_of_notes": f"WITH {_NOTES}, "
@@ -646,4 +810,25 @@ def own_sql() -> dict[str, str]:
         "collapse_phrases": _phrases_replaced(lambda i: f" <<TOKEN_{i}>> "),
         "tokenize_frequent": _replaced("' <<TOKEN_' || s[2] || '>> '"),
         "drop_frequent": _replaced("' '"),
+        "read_latin1_report": f"WITH {_RAW} SELECT fila, Folio, Municipio, "
+        "CASE WHEN Notas <> 'nan' THEN replace(Notas, 'Ã±', 'ñ') END AS Notas FROM raw",
+        "precincts_from_json": "SELECT c_custkey, lower(n_name) AS \"Municipio\", "
+        "n_regionkey::VARCHAR AS comisaria FROM customer JOIN nation ON c_nationkey = n_nationkey",
+        "phrases_from_json": "SELECT c_custkey, 'cliente de region_' || n_regionkey || ', con saldo' "
+        "AS nota FROM customer JOIN nation ON c_nationkey = n_nationkey",
+        "missing_dictionaries": f"WITH {_NOTES} SELECT fila, NULL::VARCHAR AS comisaria, "
+        f"{_normal('sin_frases')} AS \"Nota\" FROM notes WHERE tipo IS NULL OR tipo <> '70104'",
+        "three_outputs": f"WITH {_COMPONENTS} SELECT CASE WHEN apart THEN 'cancelados' "
+        "ELSE 'limpios' END AS parte, Folio, 0::BIGINT AS con_grupo, NULL::BIGINT AS grupo FROM flagged "
+        "UNION ALL SELECT 'relaciones', folio, 1, number FROM groups",
+        "absent_relation_column": f"WITH {_EDGES.replace(_LINKS, 'folios_ligados')} "
+        "SELECT src, dst FROM edges",
+        "repeated_folios": f'WITH {_COMPONENTS} SELECT fila, l_linenumber, Folio AS "Folio_Key", {group} '
+        "FROM flagged JOIN lineitem ON fila = l_orderkey",
+        "unknown_characters": "WITH d AS (SELECT doc_id, replace(text, 'e ', chr(65533)) AS text "
+        f"FROM documents) SELECT doc_id, {_normal('text')} AS sin, "
+        f"{_normal("replace(text, chr(65533), ' <unk> ')")} AS con FROM d",
+        "required_columns": f"WITH {_RAW} SELECT unnest(['Folio', 'Tipo de Incidente', 'Notas']) "
+        "AS columna, count(*) AS filas FROM raw",
+        "components_of_mixed_folios": _mixed_components(),
     }
