@@ -26,31 +26,23 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
     while seen["n"]:
         # Larger neighbours of u, and u itself, to the smallest neighbour of u.
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large, _ = ws.stage(
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large, _ = ws.stage(large.distinct())
+        # Smaller neighbours of u, and u itself, to the smallest of them.  A pair that
+        # is new, or whose smaller end has a smaller neighbour itself, needs a round more.
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        hung = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = hung.select("u", "v", F.lit(1).alias("new")).union(
+            least.select("u", F.col("m").alias("v"), F.lit(0).alias("new"))
         )
-        # Smaller neighbours of u, and u itself, to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = large.join(least, "u")
-        hung = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        kept = least.select("u", F.col("m").alias("v"))
-        following, seen = ws.stage(
-            hung.select("u", "v", F.lit(1).alias("moved"))
-            .union(kept.select("u", "v", F.lit(0).alias("moved")))
-            .where("u > v")
-            .groupBy("u", "v")
-            .agg(F.min("moved").alias("moved")),
-            n=F.sum("moved"),
+        inner = least.select(F.col("u").alias("v"), F.lit(1).alias("inner"))
+        edges, seen = ws.stage(
+            small.groupBy("u", "v").agg(F.min("new").alias("new"))
+            .join(inner, "v", "left")
+            .select("u", "v", F.greatest("new", F.coalesce("inner", F.lit(0))).alias("open")),
+            n=F.sum("open"),
         )
-        if not seen["n"]:
-            # Nothing hung elsewhere: done once no head is itself a member.
-            heads = following.select(F.col("v").alias("u")).distinct()
-            if following.join(heads, "u", "left_semi").isEmpty():
-                edges = following
-                break
-            seen = {"n": 1}
-        edges = following
     members = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     heads = members.select(F.col("component").alias("id")).distinct()
     return members.union(heads.select("id", F.col("id").alias("component")))

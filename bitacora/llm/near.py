@@ -16,10 +16,11 @@ How links are found:
    is missed by all bands with a chance of (1 - 0.8^4)^32 = 5e-8.
 4. Stars.  Each class is checked against the first class of its buckets that it shares
    most bands with, on full sets: linear in a bucket, whatever its size.
-5. Rest.  In buckets that links do not yet hold together, classes of different
-   groups are compared by sketch in blocks, and those that may be linked are checked
-   on full sets: first the likeliest partner of each class, then the likeliest few,
-   then all.  Pairs inside one group need no check as they change nothing.
+5. Rest.  Buckets that links do not yet hold together are cut into blocks, and every
+   two blocks meet in a task, full sets included.  Classes of different groups are
+   compared there by sketch, and those that may be linked on full sets; what comes out
+   are the links that join groups, at most one per class.  Pairs inside one group need
+   no check as they change nothing.
 
 Every row is a node of its own, also where rows share a doc_id.  Rows without an id
 are linked like others; a group of such rows only has no component id.
@@ -44,10 +45,8 @@ BANDS = COORDINATES // ROWS
 # Sketches of linked sets agree in 80 % of the coordinates, give or take 3.5; below
 # this share, five times that away, two classes are not compared on full sets.
 LEAST_AGREEING = 0.62
-# Classes of a bucket in one block.
-BLOCK = 1024
-# Turns in which each class is checked against its likeliest partner, before all are.
-LIKELIEST = 3
+# Classes of a bucket in one block, and shingles of these, whatever is reached first.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 # Ids of documents to check on full sets that are broadcast; more are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -151,59 +150,82 @@ def _sets(size: int):
     return run
 
 
-def _alike(group: pa.Table) -> list[np.ndarray]:
-    """Pairs of two blocks of a bucket, of different groups, whose sketches agree enough."""
+def _alike(group: pa.Table) -> list[tuple[int, int]]:
+    """Links that join groups, between two blocks of one bucket, on full sets.
+
+    Only pairs of different groups whose sketches agree enough are looked at, each in
+    the first bucket that both share, the likeliest first; pairs that links found
+    here hold together already are passed over.
+    """
     ids, groups, sizes, block, i, j = (
         group[c].to_numpy() for c in ("id", "component", "n_shingles", "block", "i", "j")
     )
-    found: list[list[np.ndarray]] = [[], [], []]
     if groups.min() == groups.max():
         return []
     sketches = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint16)
     sketches = sketches.reshape(-1, COORDINATES)
+    banded = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    here = int(np.flatnonzero(banded[0] == group["bucket"][0].as_py())[0])
     right = np.flatnonzero(block == j[0])
+    pairs: list[np.ndarray] = []
     for a in np.flatnonzero(block == i[0]):
         b = right[groups[right] != groups[a]]
         if i[0] == j[0]:
             b = b[ids[b] > ids[a]]
         small, large = np.minimum(sizes[b], sizes[a]), np.maximum(sizes[b], sizes[a])
         b = b[100 * small >= PERCENT * large]
+        b = b[(banded[b] == banded[a]).argmax(1) == here]
         agreeing = (sketches[b] == sketches[a]).sum(1)
         good = agreeing >= LEAST_AGREEING * COORDINATES
-        b = b[good]
-        found[0].append(np.minimum(ids[a], ids[b]))
-        found[1].append(np.maximum(ids[a], ids[b]))
-        found[2].append(agreeing[good])
-    return [np.concatenate(c) for c in found]
+        pairs.append(np.stack([agreeing[good], np.full(good.sum(), a), b[good]], 1))
+    found = np.concatenate(pairs)
+    sets: dict[int, np.ndarray] = {}
+    parent = {int(g): int(g) for g in np.unique(groups)}
+
+    def root(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = g = parent[parent[g]]
+        return g
+
+    def elements(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = group["elements"][k].values.to_numpy()
+        return sets[k]
+
+    links = []
+    for _, a, b in found[np.argsort(-found[:, 0], kind="stable")].tolist():
+        x, y = root(int(groups[a])), root(int(groups[b]))
+        if x == y:
+            continue
+        common = len(np.intersect1d(elements(a), elements(b), assume_unique=True))
+        if 100 * common >= PERCENT * (int(sizes[a]) + int(sizes[b]) - common):
+            parent[max(x, y)] = min(x, y)
+            links.append((int(ids[a]), int(ids[b])))
+    return links
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``_alike`` of each run of rows with one (bucket, i, j)."""
+    """``_alike`` of each run of rows with one (bucket, i, j); one run is held at a time."""
     held: list[pa.RecordBatch] = []
 
-    def pairs(table: pa.Table, last: bool) -> tuple[list[list[np.ndarray]], pa.Table]:
-        key = np.stack([table[c].to_numpy() for c in ("bucket", "i", "j")])
-        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-        edges = [0, *cuts.tolist(), *([table.num_rows] if last else [])]
-        done = [_alike(table.slice(x, y - x)) for x, y in zip(edges, edges[1:])]
-        return [d for d in done if d], table.slice(edges[-1])
-
-    def packed_pairs(done: list[list[np.ndarray]]) -> pa.RecordBatch:
-        columns = [np.concatenate([np.zeros(0, np.int64), *c]) for c in zip(*done)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(np.int64)) for c in columns], ["a", "b", "agreeing"]
-        )
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = _alike(pa.Table.from_batches(rows))
+        columns = [pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
+    before = None
     for batch in batches:
-        held.append(batch)
-        done, rest = pairs(pa.Table.from_batches(held), False)
-        held = rest.to_batches()
-        if done:
-            yield packed_pairs(done)
+        key = np.stack([batch[c].to_numpy() for c in ("bucket", "i", "j")])
+        edges = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist()]
+        for x, y in zip(edges, [*edges[1:], batch.num_rows]):
+            now = key[:, x].tolist()
+            if held and now != before:
+                yield links(held)
+                held = []
+            before = now
+            held.append(batch.slice(x, y - x))
     if held:
-        done, _ = pairs(pa.Table.from_batches(held), True)
-        if done:
-            yield packed_pairs(done)
+        yield links(held)
 
 
 def _text_digest(text: Column) -> Column:
@@ -232,11 +254,10 @@ class _Search:
         )
         self.members, _ = self.ws.stage(banded.join(shared.where("n > 1"), "bucket"))
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes whose full sets are alike enough."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """The full sets of the classes ``ids``: id, elements."""
         needed, seen = self.ws.stage(
-            self.classes.join(ends, "id", "left_semi").select("id", "doc_id", "set1", "set2"),
+            self.classes.join(ids, "id", "left_semi").select("id", "doc_id", "set1", "set2"),
             n=F.count(F.lit(1)),
         )
         wanted = needed.select(F.col("doc_id").alias("_id")).distinct()
@@ -245,24 +266,37 @@ class _Search:
         texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
         found = texts.mapInArrow(_sets(self.size), _SETS).withColumnRenamed("doc_id", "_id")
         same = F.col("doc_id").eqNullSafe(F.col("_id"))
-        sets, _ = self.ws.stage(
+        return self.ws.stage(
             found.join(needed, ["set1", "set2"]).where(same).select("id", "elements")
-        )
+        )[0]
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes whose full sets are alike enough."""
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         one = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
         two = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-        both = pairs.select("a", "b").join(one, "a").join(two, "b")
+        both = pairs.join(one, "a").join(two, "b")
         common = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - common
         links = both.where(F.lit(100) * common >= F.lit(PERCENT) * union).select("a", "b")
         return self.ws.stage(links)[0]
 
-    def grouped(self, links: DataFrame) -> DataFrame:
-        """Every class with its component: id, component."""
-        found = components(links, self.ws)
+    def grouped(self, links: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+        """Every class with its component (id, component), ``groups`` joined by links."""
+        if groups is None:
+            groups = self.classes.select("id", F.col("id").alias("component"))
+        else:
+            # Links between groups are far fewer than classes.
+            a = groups.select(F.col("id").alias("a"), F.col("component").alias("x"))
+            b = groups.select(F.col("id").alias("b"), F.col("component").alias("y"))
+            links = links.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        found = components(links, self.ws).select(
+            F.col("id").alias("component"), F.col("component").alias("joined")
+        )
         return self.ws.stage(
-            self.classes.select("id")
-            .join(found, "id", "left")
-            .select("id", F.coalesce("component", "id").alias("component"))
+            groups.join(found, "component", "left").select(
+                "id", F.coalesce("joined", "component").alias("component")
+            )
         )[0]
 
     def stars(self) -> DataFrame:
@@ -278,61 +312,41 @@ class _Search:
         )
 
     def rest(self, groups: DataFrame) -> DataFrame:
-        """Pairs across groups, within a bucket, whose sketches agree enough."""
-        members = self.members.join(groups, "id")
+        """Links between the groups that are left in one bucket."""
+        members = self.members.join(groups, "id").join(
+            self.classes.select("id", "n_shingles", "bands", "sketch"), "id"
+        )
         several = (
             members.groupBy("bucket")
-            .agg(F.min("component").alias("x"), F.max("component").alias("y"))
+            .agg(
+                F.min("component").alias("x"),
+                F.max("component").alias("y"),
+                F.ceil(
+                    F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+                ).cast("int").alias("blocks"),
+            )
             .where("x <> y")
-            .select("bucket")
+            .select("bucket", "blocks")
         )
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        rows, _ = self.ws.stage(members.join(several, "bucket"))
+        rows = rows.join(self.sets(rows.select("id").distinct()), "id")
         rows = (
-            members.join(several, "bucket")
-            .join(self.classes.select("id", "n_shingles", "sketch"), "id")
-            .withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(
                 "bucket",
                 F.least("block", "other").alias("i"),
                 F.greatest("block", "other").alias("j"),
-                "id", "component", "n_shingles", "block", "sketch",
+                "id", "component", "n_shingles", "block", "bands", "sketch", "elements",
             )
         )
         key = ["bucket", "i", "j"]
-        compared = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(
-            _compared, "a bigint, b bigint, agreeing bigint"
-        )
-        return self.ws.stage(compared.distinct())[0]
+        compared = rows.repartition(*key).sortWithinPartitions(*key)
+        return self.ws.stage(compared.mapInArrow(_compared, "a bigint, b bigint"))[0]
 
     def groups(self) -> DataFrame:
-        pairs, _ = self.ws.stage(self.stars())
-        tried = pairs
-        links = self.linked(pairs)
-        groups = self.grouped(links)
-        rest = self.rest(groups)
-        for turn in range(LIKELIEST + 1):
-            a = groups.select(F.col("id").alias("a"), F.col("component").alias("x"))
-            b = groups.select(F.col("id").alias("b"), F.col("component").alias("y"))
-            across = rest.join(a, "a").join(b, "b").where("x <> y").drop("x", "y")
-            rest, seen = self.ws.stage(
-                across.join(tried, ["a", "b"], "left_anti"), n=F.count(F.lit(1))
-            )
-            if not seen["n"]:
-                break
-            pairs = rest.select("a", "b")
-            if turn < LIKELIEST:
-                ends = rest.select("a", "b", "agreeing").union(rest.select("b", "a", "agreeing"))
-                best = ends.groupBy("a").agg(F.max(F.struct("agreeing", "b")).alias("best"))
-                pairs = best.select(
-                    F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")
-                ).distinct()
-            pairs, _ = self.ws.stage(pairs)
-            tried = pairs
-            links = links.union(self.linked(pairs))
-            groups = self.grouped(links)
-        return groups
+        groups = self.grouped(self.linked(self.ws.stage(self.stars())[0]))
+        return self.grouped(self.rest(groups), groups)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
