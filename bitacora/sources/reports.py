@@ -61,6 +61,27 @@ def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _first_record(
+    spark: SparkSession, path: str | list[str], options: dict, width: int = 64
+) -> list[str | None] | None:
+    """The cells of the first record.
+
+    It is read under a schema of some width, as finding one out would take file names
+    for patterns; a record of another width comes with its text, which tells it.
+    """
+    cells = [f"c{i}" for i in range(width)]
+    schema = StructType([StructField(c, StringType()) for c in [*cells, _BROKEN]])
+    reader = spark.read.schema(schema).options(
+        header=False, columnNameOfCorruptRecord=_BROKEN, **options
+    )
+    fields = _field_count(F.col(_BROKEN)).alias("fields")
+    row = reader.csv(path).select(*cells, _BROKEN, fields).first()
+    if row is None:
+        return None
+    count = width if row[_BROKEN] is None else row["fields"]
+    return list(row)[:count] if count <= width else _first_record(spark, path, options, count)
+
+
 def _column_names(
     spark: SparkSession, path: str | list[str], options: dict
 ) -> tuple[list[str], bool]:
@@ -68,7 +89,7 @@ def _column_names(
 
     Repeated names get .1, .2 and so on, empty ones a name by their position.
     """
-    first = spark.read.options(header=False, **options).csv(path).first()
+    first = _first_record(spark, path, options)
     if first is None:
         raise ValueError(f"no header in {path}")
     names: list[str] = []
