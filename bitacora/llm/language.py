@@ -33,6 +33,8 @@ from bitacora.storage import Workspace
 ROWS, LANDMARKS = 256, 16
 # Landmarks are sought among texts of at least so many characters.
 LANDMARK_CHARS = 400
+# Counts of up to so many languages are broadcast; more are joined by a shuffle.
+BROADCAST_LANGUAGES = 10_000
 RIDGE = 0.1
 BATCH = 64
 UNKNOWN = "und"
@@ -132,11 +134,17 @@ def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
     learned = docs.where(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 4) != 2) & F.col("text").rlike(r"\p{L}")
     ).select("doc_id", "lang", "text")
-    counts = learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    ws = Workspace(docs.sparkSession)
+    counts, seen = ws.stage(
+        learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), languages=F.count(F.lit(1))
+    )
+    # Broadcast, the counts thin the texts out before any is moved.
+    if seen["languages"] <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     # About twice the rows wanted by a threshold on the hash; the window cuts the rest.
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample, _ = Workspace(docs.sparkSession).stage(
+    sample, _ = ws.stage(
         learned.join(counts, "lang")
         .where(share <= F.lit(2.0 * rows) / F.col("n"))
         .withColumn("at", F.row_number().over(order))
