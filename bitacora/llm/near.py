@@ -48,7 +48,7 @@ LEAST_AGREEING = 0.62
 # Classes of a bucket in one block, and shingles of these, whatever is reached first.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 # Ids of documents to check on full sets that are broadcast; more are shuffled.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 200_000
 
 _LOW = np.uint64((1 << 48) - 1)
 _SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
