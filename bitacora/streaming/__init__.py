@@ -1,10 +1,5 @@
-"""Streaming frames.
+"""Reports from files that keep arriving."""
 
-The report stage is row-local apart from one join to a small static table, so
-the operator for batches is the one for streams.  Groups need all rows and are
-a batch job.
-"""
+from bitacora.streaming.report import read_report_stream, stream_report
 
-from bitacora.plans.report import process_rows
-
-__all__ = ["process_rows"]
+__all__ = ["read_report_stream", "stream_report"]
