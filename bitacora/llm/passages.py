@@ -15,8 +15,8 @@ windows; found on a sample, which only decides the way, not the result) don't tr
 their first document is found by partial minima and broadcast.  As each is more than
 that share of the sample, there are fewer than ``HOT_SHARE`` of them.
 
-Hashes have 64 bits: a window among 10^13 others is taken for an equal one with a
-chance of 5e-7.  A null text has no words.  Documents without an id come after all
+Hashes have 64 bits (62 where there are only 64 buckets): a window among 10^13 others is
+taken for an equal one with a chance of 5e-7.  A null text has no words.  Documents without an id come after all
 others, so nothing is removed for their sake from others or among themselves.  Rows
 that agree in doc_id and text are one document given several times and get the same
 result.
@@ -43,6 +43,8 @@ HOT_SHARE = 10_000
 HOT_WINDOWS = 1 << 20
 SAMPLE = 64
 
+# Bytes of a hash that travel.
+_BYTES = 7
 # Stands for a missing id: after all others.
 _NONE = np.iinfo(np.int64).max
 
@@ -55,6 +57,18 @@ def text_windows(text: str | None, size: int) -> np.ndarray:
     return window_hashes(word_hashes(text_words(text)), size)
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    """The lower 56 bits of each hash; the bucket stands for the upper ones."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
+
+
+def _unpacked(rows: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, _BYTES)
+    whole = np.zeros((len(raw), 8), np.uint8)
+    whole[:, :_BYTES] = raw
+    return whole.view(np.uint64).ravel()
+
+
 def _bucket_order(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each hash, and the hashes' order by bucket."""
     buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
@@ -115,7 +129,7 @@ def _dealt(size: int, bits: int, hot):
                 rows[0].extend(buckets[cuts].tolist())
                 rows[1].extend([doc_id] * len(cuts))
                 rows[2].extend([digest] * len(cuts))
-                rows[3].extend(h[x:y].tobytes() for x, y in zip(cuts, [*cuts[1:], len(h)]))
+                rows[3].extend(_packed(h[x:y]) for x, y in zip(cuts, [*cuts[1:], len(h)]))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names)
 
@@ -131,8 +145,8 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def marks(rows: pa.Table) -> pa.RecordBatch | None:
         packed = rows["hashes"].to_pylist()
         ids = rows["doc_id"].fill_null(_NONE).to_numpy()
-        sizes = np.array([len(p) // 8 for p in packed])
-        h = np.frombuffer(b"".join(packed), np.uint64)
+        sizes = np.array([len(p) // _BYTES for p in packed])
+        h = _unpacked(packed)
         owner = np.repeat(np.arange(len(packed)), sizes)
         order = np.argsort(h, kind="stable")
         sorted_h = h[order]
