@@ -163,7 +163,7 @@ def private(text):
     text = text or ""
     found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
     for m in IP.finditer(text):
-        if all(int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = [int(c) for c in m.group() if c.isdigit()]
