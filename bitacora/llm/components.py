@@ -14,8 +14,8 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
     Every round links each node to the smallest of its neighbourhood, once for its
     larger and once for its smaller neighbours, until stars are left: the number of
     rounds grows with the logarithm of the longest path.  Smallest neighbours are
-    partial sums before anything is moved, and a hub is only ever one side of a
-    join, which Spark can split.
+    partial minima before anything is moved.  They are written before they are joined:
+    in a join of plain tables Spark can split the rows of a hub.
     """
     edges, seen = ws.stage(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -26,12 +26,12 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
     while seen["n"]:
         # Larger neighbours of u, and u itself, to the smallest neighbour of u.
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least, _ = ws.stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large, _ = ws.stage(large.distinct())
         # Smaller neighbours of u, and u itself, to the smallest of them.  A pair that
         # is new, or whose smaller end has a smaller neighbour itself, needs a round more.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least, _ = ws.stage(large.groupBy("u").agg(F.min("v").alias("m")))
         hung = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.select("u", "v", F.lit(1).alias("new")).union(
             least.select("u", F.col("m").alias("v"), F.lit(0).alias("new"))

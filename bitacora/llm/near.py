@@ -358,7 +358,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     search = _Search(docs, size)
     groups = search.groups()
     named = groups.join(search.classes.select("id", "doc_id"), "id")
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Written before it is joined, so that Spark can split a large group there.
+    smallest, _ = search.ws.stage(
+        named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    )
     key = ["set1", "set2", "n_shingles"]
     labels = (
         search.classes.select("id", *key)
