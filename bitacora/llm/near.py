@@ -92,15 +92,12 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def bands(bins: np.ndarray) -> np.ndarray:
-    """One hash per band."""
-    h = np.zeros(BANDS, np.uint64)
-    for column in bins.reshape(BANDS, ROWS).T:
-        h = mixed(h ^ column) + np.uint64(0x9E3779B97F4A7C15)
-    return mixed(h ^ _SEEDS[:BANDS])
+    """The sketch as one integer per band: the lowest 16 bits of its coordinates."""
+    return bins.astype(np.uint16).view(np.int64)
 
 
 _SKETCHED = (
-    "doc_id bigint, digest bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>, sketch binary"
+    "doc_id bigint, digest bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>"
 )
 _SETS = "doc_id bigint, set1 bigint, set2 bigint, elements array<bigint>"
 
@@ -115,14 +112,12 @@ def _sketched(size: int):
     def row(doc_id, digest, text) -> tuple:
         s = shingles(text, size)
         if not len(s):
-            return doc_id, digest, 0, 0, 0, [], b""
-        bins = sketch(s)
-        tail = bands(bins).view(np.int64).tolist(), bins.astype(np.uint16).tobytes()
-        return doc_id, digest, len(s), *_digest(s), *tail
+            return doc_id, digest, 0, 0, 0, []
+        return doc_id, digest, len(s), *_digest(s), bands(sketch(s)).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
-        names = ["doc_id", "digest", "n_shingles", "set1", "set2", "bands", "sketch"]
+        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+        names = ["doc_id", "digest", "n_shingles", "set1", "set2", "bands"]
         for batch in batches:
             rows = [row(*given) for given in zip(*(c.to_pylist() for c in batch.columns))]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
@@ -162,10 +157,9 @@ def _alike(group: pa.Table) -> list[tuple[int, int]]:
     )
     if groups.min() == groups.max():
         return []
-    sketches = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint16)
-    sketches = sketches.reshape(-1, COORDINATES)
     banded = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-    here = int(np.flatnonzero(banded[0] == group["bucket"][0].as_py())[0])
+    sketches = banded.view(np.uint16)
+    here = group["band"][0].as_py()
     right = np.flatnonzero(block == j[0])
     pairs: list[np.ndarray] = []
     for a in np.flatnonzero(block == i[0]):
@@ -248,7 +242,9 @@ class _Search:
         self.classes, _ = self.ws.stage(
             self.rows.join(heads.select("id"), F.col("seq") == F.col("id"), "inner").drop("seq")
         )
-        banded = self.classes.select("id", F.explode("bands").alias("bucket"))
+        banded = self.classes.select("id", F.posexplode("bands").alias("band", "value")).select(
+            "id", "band", F.xxhash64("band", "value").alias("bucket")
+        )
         shared = banded.groupBy("bucket").agg(
             F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")
         )
@@ -314,7 +310,7 @@ class _Search:
     def rest(self, groups: DataFrame) -> DataFrame:
         """Links between the groups that are left in one bucket."""
         members = self.members.join(groups, "id").join(
-            self.classes.select("id", "n_shingles", "bands", "sketch"), "id"
+            self.classes.select("id", "n_shingles", "bands"), "id"
         )
         several = (
             members.groupBy("bucket")
@@ -337,7 +333,7 @@ class _Search:
                 "bucket",
                 F.least("block", "other").alias("i"),
                 F.greatest("block", "other").alias("j"),
-                "id", "component", "n_shingles", "block", "bands", "sketch", "elements",
+                "id", "component", "n_shingles", "block", "band", "bands", "elements",
             )
         )
         key = ["bucket", "i", "j"]
@@ -383,18 +379,28 @@ def representatives(docs: DataFrame, size: int) -> DataFrame:
 
     Rows that agree in id and text stay once.
     """
+    ws = Workspace(docs.sparkSession)
+    found, _ = ws.stage(near_duplicates(docs, size).select("component", "doc_id", "digest"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")
-    heads = (
-        near_duplicates(docs, size)
-        .groupBy("component")
-        .agg(first)
-        .select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"))
-        .distinct()
+    heads, _ = ws.stage(found.groupBy("component").agg(first))
+    is_head = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("digest") == F.col("first.digest")
     )
-    df = packed(
-        docs, id=F.col("doc_id").cast("bigint"), digest=_text_digest(F.col("text"))
+    gone, seen = ws.stage(
+        found.join(heads, "component").where(~is_head).select(
+            F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")
+        ),
+        n=F.count(F.lit(1)),
     )
+    df = packed(docs, id=F.col("doc_id").cast("bigint"), digest=_text_digest(F.col("text")))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    once = F.row_number().over(Window.partitionBy("id", "digest").orderBy("digest"))
-    kept = df.join(heads, same).withColumn("once", once).where("once = 1")
+    repeated = found.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if seen["n"] <= BROADCAST_IDS and repeated.isEmpty():
+        kept = df.join(F.broadcast(gone), same, "left_anti")
+    else:
+        chosen = heads.select(
+            F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest")
+        ).distinct()
+        once = F.row_number().over(Window.partitionBy("id", "digest").orderBy("digest"))
+        kept = df.join(chosen, same).withColumn("once", once).where("once = 1")
     return unpacked(kept, docs.columns)
