@@ -10,7 +10,12 @@ Fitting looks at a bounded sample of ``ROWS`` labelled rows per language, chosen
 of their ids, and only at text and lang.  Every whole text is scored.  N-grams lie within
 words, which are runs of letters, in lower case with a blank on either side.
 
-A text that is null or has no letter is ``und`` with score 0, as is every text where
+A score only ranks the languages against one another: a text like none of them has
+kernels of 0 and a score of about a half.  Whether it is like any says its ``likeness``:
+the share of its n-grams of 3 characters that at least two landmarks of a language have,
+over the median of that share among the rows fitted for the language; the largest counts.
+
+A text that is null or has no letter is ``und`` with score and likeness 0, as is every text where
 there was nothing to learn from.  Rows without an id are scored but not learned from.
 Each row is judged alone, so repeated rows get the same result.
 """
@@ -40,6 +45,8 @@ BATCH = 64
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
+# N-grams of 3 characters come after all shorter ones.
+_THREE = 1 << 42
 
 
 def presences(text: str | None) -> np.ndarray:
@@ -61,23 +68,34 @@ def presences(text: str | None) -> np.ndarray:
 class Landmarks:
     grams: np.ndarray  # all n-grams of the landmarks, sorted
     matrix: np.ndarray  # n-grams by landmarks: presence over the root of their number
+    known: np.ndarray  # n-grams of 3 characters, the last in order, by languages: 1 or 0
 
     @classmethod
-    def of(cls, sets: list[np.ndarray]) -> Landmarks:
+    def of(cls, sets: list[np.ndarray], langs: list[str]) -> Landmarks:
         grams = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]))
         matrix = np.zeros((len(grams), len(sets)), np.float32)
         for k, s in enumerate(sets):
             matrix[np.searchsorted(grams, s), k] = len(s) ** -0.5
-        return cls(grams, matrix)
-
-    def kernels(self, sets: list[np.ndarray]) -> np.ndarray:
-        """Kernels of a batch of texts with every landmark, as one matrix product."""
+        three = matrix[np.searchsorted(grams, _THREE) :] > 0
+        known = []
+        for lang in sorted(set(langs)):
+            n = three[:, [x == lang for x in langs]].sum(1)
+            # A single landmark, or such as have nothing in common, count alone.
+            known.append(n >= (2 if (n > 1).any() else 1))
+        shape = (len(three), len(known))
+        return cls(grams, matrix, np.array(known, np.float32).T.reshape(shape))
+
+    def kernels(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Kernels of a batch of texts with every landmark, as one matrix product, and
+        by language the share of their n-grams of 3 characters that is known."""
         x = np.zeros((len(sets), len(self.grams)), np.float32)
         for row, s in zip(x, sets):
             at = np.searchsorted(self.grams, s)
             at = at[at < len(self.grams)]
             row[at[self.grams[at] == s[: len(at)]]] = max(1, len(s)) ** -0.5
-        return x @ self.matrix
+        n = np.array([[len(s), len(s) - np.searchsorted(s, _THREE)] for s in sets]).reshape(-1, 2)
+        hits = x[:, len(self.grams) - len(self.known) :] @ self.known
+        return x @ self.matrix, hits * (np.sqrt(n[:, :1]) / np.maximum(1, n[:, 1:])).astype(np.float32)
 
 
 @dataclass
@@ -85,20 +103,23 @@ class Model:
     landmarks: Landmarks | None
     weights: np.ndarray  # landmarks by languages
     languages: list[str]
+    typical: np.ndarray  # by language: the median share of known n-grams
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, score from 0 to 1) of each text."""
-        out: list[tuple[str, float]] = []
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """(language, score from 0 to 1, likeness) of each text."""
+        out: list[tuple[str, float, float]] = []
         for k in range(0, len(texts), BATCH):
             sets = [presences(t) for t in texts[k : k + BATCH]]
             if not self.languages:
-                out += [(UNKNOWN, 0.0)] * len(sets)
+                out += [(UNKNOWN, 0.0, 0.0)] * len(sets)
                 continue
-            scores = self.landmarks.kernels(sets) @ self.weights
+            kernels, shares = self.landmarks.kernels(sets)
+            scores = kernels @ self.weights
             best = scores.argmax(1)
-            for s, row, b in zip(sets, scores, best.tolist()):
+            likeness = (shares / self.typical).max(1)
+            for s, row, b, like in zip(sets, scores, best.tolist(), likeness.tolist()):
                 score = min(1.0, max(0.0, (float(row[b]) + 1) / 2))
-                out.append((self.languages[b], score) if len(s) else (UNKNOWN, 0.0))
+                out.append((self.languages[b], score, like) if len(s) else (UNKNOWN, 0.0, 0.0))
         return out
 
 
@@ -122,8 +143,10 @@ def _kernels(landmarks):
             for k in range(0, batch.num_rows, BATCH):
                 part = batch.slice(k, BATCH)
                 sets = [presences(t) for t in part["text"].to_pylist()]
-                rows = [row.tobytes() for row in landmarks.value.kernels(sets)]
-                yield pa.RecordBatch.from_arrays([part["lang"], pa.array(rows, pa.binary())], ["lang", "v"])
+                v, shares = ([row.tobytes() for row in m] for m in landmarks.value.kernels(sets))
+                yield pa.RecordBatch.from_arrays(
+                    [part["lang"], pa.array(v, pa.binary()), pa.array(shares, pa.binary())], ["lang", "v", "shares"]
+                )
 
     return run
 
@@ -158,10 +181,11 @@ def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
     )
     languages = sorted({r.lang for r in marks})
     if not languages:
-        return Model(None, np.zeros((0, 0)), [])
-    found = Landmarks.of([np.frombuffer(bytes(r.v), np.int64) for r in marks])
+        return Model(None, np.zeros((0, 0)), [], np.zeros(0))
+    found = Landmarks.of([np.frombuffer(bytes(r.v), np.int64) for r in marks], [r.lang for r in marks])
     fitted = (
-        sample.select("lang", "text").mapInArrow(_kernels(sc.broadcast(found)), "lang string, v binary").collect()
+        sample.select("lang", "text")
+        .mapInArrow(_kernels(sc.broadcast(found)), "lang string, v binary, shares binary").collect()
     )
     k = np.stack([np.frombuffer(bytes(r.v), np.float32) for r in fitted]).astype(np.float64)
     y = np.where(np.array([[r.lang == lang for lang in languages] for r in fitted]), 1.0, -1.0)
@@ -176,11 +200,15 @@ def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
     phi = k @ root
     gram = phi.T @ (phi * weight[:, None]) + RIDGE * np.eye(len(root))
     weights = root @ np.linalg.solve(gram, phi.T @ (y * weight[:, None]))
-    return Model(found, weights.astype(np.float32), languages)
+    shares = np.stack([np.frombuffer(bytes(r.shares), np.float32) for r in fitted])
+    typical = np.array(
+        [np.median(shares[[r.lang == lang for r in fitted], at]) for at, lang in enumerate(languages)]
+    )
+    return Model(found, weights.astype(np.float32), languages, np.where(typical > 0, typical, 1.0))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``row`` with the document, ``lang_pred`` and ``score``."""
+    """``row`` with the document, ``lang_pred``, ``score`` and ``likeness``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +216,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             found = shared.value.predict(batch["text"].to_pylist())
             columns = [
                 batch["row"],
-                pa.array([lang for lang, _ in found], pa.string()),
-                pa.array([score for _, score in found], pa.float64()),
+                pa.array([lang for lang, _, _ in found], pa.string()),
+                pa.array([score for _, score, _ in found], pa.float64()),
+                pa.array([like for _, _, like in found], pa.float64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score", "likeness"])
 
     df = packed(docs, text=F.col("text"))
     schema = T.StructType(
@@ -199,6 +228,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             df.schema["row"],
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
+            T.StructField("likeness", T.DoubleType()),
         ]
     )
     return df.mapInArrow(run, schema)

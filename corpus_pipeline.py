@@ -19,6 +19,8 @@ from bitacora.storage import Workspace
 SHINGLE = 5
 # Of 0 to 1; a text scores below when no language stands out.
 LEAST_LANGUAGE_SCORE = 0.3
+# A typical text of a language has 1, another script 0, 20 words of random letters up to 0.16.
+LEAST_LIKENESS = 0.25
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model)
     known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return unpacked(found.where(known), docs.columns)
+    return unpacked(found.where(known & (F.col("likeness") >= LEAST_LIKENESS)), docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

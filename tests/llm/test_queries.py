@@ -36,6 +36,26 @@ def test_language(spark, sf):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.98 * len(held)
 
 
+def test_language_stage(spark, sf):
+    """Texts like no language go, however long; clean ones of few words stay."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rng = random.Random(4)
+    unlike = ["Все люди рождаются свободными и равными", "人人生而自由 在尊严和权利上一律平等", "שלום עולם"]
+    unlike.append("Příliš žluťoučký kůň úpěl ďábelské ódy, a pak šel domů spát")
+    for n in (20, 200, 2000):
+        for _ in range(5):
+            words = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(1, 10))) for _ in range(n))
+            unlike.append(" ".join(words))
+    clean = {(r.lang, " ".join(plain.WORD.findall(r.text)[:8])) for r in docs.collect() if "$" not in r.text}
+    rows = [(10**6 + i, t, lang, "a", len(t)) for i, (lang, t) in enumerate(sorted(clean))]
+    assert {r[2] for r in rows} == {"de", "en", "es", "fr"}
+    more = rows + [(2 * 10**6 + i, t, None, "a", len(t)) for i, t in enumerate(unlike)]
+    given = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, given, sf).select("doc_id").collect()}
+    assert {i for i in kept if i >= 2 * 10**6} == set()
+    assert {r[0] for r in rows} <= kept
+
+
 def test_quality(spark, sf):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     found = queries.QUERIES["op3_quality_classifier"](spark, sf).collect()
