@@ -11,7 +11,8 @@ Kinds, in this order:
   (10 to 15 digits after a plus): leftmost matches without overlap per kind; one that
   fails its test is dropped and not tried again;
 * ``url``: an address with a user or password before its host;
-* ``account``: a cue such as ``iban`` or ``api_key``, then a value with a digit;
+* ``account``: a cue such as ``iban`` or ``api_key``, then a value of 6 characters or more,
+  however long, with a digit;
 * ``address``: a house number and a name, then a word for a street.
 
 Places count code points, the end is exclusive.  A null text is empty.  Each row is
@@ -50,7 +51,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _LOGIN = re.compile(r"[^\s/@:<>\"]+(?::[^\s/@<>\"]*)?@[A-Za-z0-9.-]+[^\s<>\"']*")
-_VALUE = re.compile(r"(?:[ _-]?(?:number|no\.?|nr\.?|id|key|code))?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5,63})", re.I)
+_VALUE = re.compile(r"(?:[ _-]?(?:number|no\.?|nr\.?|id|key|code))?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5})", re.I)
+# What a value goes on with.
+_VALUE_RUN = re.compile(r"[A-Za-z0-9_-]*", re.I)
 _HOUSE = re.compile(r"(?<!\w)[0-9]{1,5}[A-Za-z]?(?: [A-Z][\w'.-]{0,30}){1,4} ?$")
 
 
@@ -119,6 +122,8 @@ def spans(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[int, s
     if not text:
         return []
     done = dict.fromkeys(KINDS, 0)
+    # End of the last account value without a digit: what starts inside has none either.
+    bare = 0
 
     def add(kind: str, start: int, end: int) -> None:
         found.append((start, KINDS.index(kind), end))
@@ -153,9 +158,13 @@ def spans(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[int, s
                 done[kind] = m.end()
         elif kind == "account":
             m = _VALUE.match(text, end)
-            if m and first >= done[kind] and any(c in _DIGITS for c in m.group(1)):
-                add(kind, m.start(1), m.end(1))
-                done[kind] = m.end(1)
+            if m and first >= done[kind] and m.start(1) >= bare:
+                stop = _VALUE_RUN.match(text, m.end(1)).end()
+                if any(c in _DIGITS for c in text[m.start(1) : stop]):
+                    add(kind, m.start(1), stop)
+                    done[kind] = stop
+                else:
+                    bare = stop
         elif end == len(text) or not text[end].isalpha():
             least = max(done[kind], first - 140)
             if m := _HOUSE.search(text[least:first]):

@@ -102,6 +102,18 @@ def test_masked():
     assert pii.masked(text, found) == "to [email], card [card] at [address]"
 
 
+def test_long_account():
+    """A value goes whole, wherever its first digit stands; one without a digit isn't found."""
+    anchors = pii.automaton()
+    for key in ("aB3_-" * 40, "k" * 199 + "7", "x" * 64 + "1", "q1" * 50_000):
+        text = f"api_key={key} end"
+        assert pii.spans(text, anchors) == [(8, "account", 8 + len(key))]
+        assert pii.masked(text, pii.spans(text, anchors)) == "api_key=[account] end"
+    assert pii.spans("secret: " + "k" * 200, anchors) == []
+    # Cues inside a value without a digit don't read it again and again.
+    assert pii.spans("token" * 100_000, anchors) == []
+
+
 def test_pipeline(spark, sf):
     """Stage by stage: what goes is what must, and nothing else."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
