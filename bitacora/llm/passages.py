@@ -16,7 +16,8 @@ their first document is found by partial minima and broadcast.  As each is more
 that share of the sample, there are fewer than ``HOT_SHARE`` of them.
 
 Hashes have 64 bits (62 where there are only 64 buckets): a window among 10^13 others is
-taken for an equal one with a chance of 5e-7.  A null text has no words.  Documents without an id come after all
+taken for an equal one with a chance of 5e-7.  Texts of one doc_id, or of none, are told
+apart by 64 bits as well.  A null text has no words.  Documents without an id come after all
 others, so nothing is removed for their sake from others or among themselves.  Rows
 that agree in doc_id and text are one document given several times and get the same
 result.
@@ -162,6 +163,10 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = np.flatnonzero(np.add.reduceat(mark.astype(np.int64), ends - sizes))
         if not len(hit):
             return None
+        # Equal rows have equal marks: they are given once.
+        kept = rows.take(pa.array(hit))
+        once = dict(zip(zip(kept["doc_id"].to_pylist(), kept["digest"].to_pylist()), hit.tolist()))
+        hit = sorted(once.values())
         kept = rows.take(pa.array(hit))
         masks = [np.packbits(mark[ends[r] - sizes[r] : ends[r]]).tobytes() for r in hit]
         columns = [kept["bucket"], kept["doc_id"], kept["digest"], pa.array(masks, pa.binary())]
@@ -241,8 +246,8 @@ def remove_passages(
     ws = Workspace(spark)
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        # Tells texts with one doc_id apart; short, as every row of a bucket carries it.
-        F.xxhash64(given(F.col("text"))).bitwiseAND(F.lit(0xFFFFFF)).alias("digest"),
+        # Tells texts with one doc_id apart.
+        F.xxhash64(given(F.col("text"))).alias("digest"),
         "text",
     )
     total = docs.select(F.size(words(F.col("text"))).alias("n")).agg(F.sum("n")).first()[0] or 0

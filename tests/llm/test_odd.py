@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +166,31 @@ def test_common_passages(spark, monkeypatch):
     assert bag(found, "doc_id", "n_words", "n_removed", "kept") == Counter(plain.without_passages(rows))
 
 
+def test_passages_of_one_id(spark):
+    """Texts without an id whose hashes agree in their lower 24 bits stay apart."""
+    passage = plain.sentence(random.Random(6), 40, 10**6)
+    common = F.concat(F.lit(passage + " x"), F.col("id"))
+    other = F.expr("array_join(transform(sequence(0, 199), j -> concat('u', id, 'x', j)), ' ')")
+    texts = spark.range(30_000).select((F.col("id") % 2).alias("odd"), F.when(F.col("id") % 2 == 0, common).otherwise(other).alias("text"))
+    short = texts.withColumn("d", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFF)))
+    pair = short.groupBy("d").agg(F.min(F.struct("odd", "text")).alias("a"), F.max(F.struct("odd", "text")).alias("b"))
+    pair = pair.where("a.odd < b.odd").orderBy("d").first()
+    rows = [(0, passage, None, None, 0), (None, pair.a.text, None, None, 0), (None, pair.b.text, None, None, 0)]
+    found = passages.remove_passages(plain.docs_of(spark, rows))
+    assert bag(found, "doc_id", "n_words", "n_removed", "kept") == Counter(plain.without_passages(rows))
+
+
+def test_marks_of_equal_rows():
+    """Equal rows get one row of marks in a bucket, not one each."""
+    h = passages._packed(np.arange(5, dtype=np.uint64))
+    ids, digests = [1, 2, 2, 2, None, None, None], [7, 8, 8, 9, 8, 8, 9]
+    columns = [pa.array([0] * 7), pa.array(ids), pa.array(digests), pa.array([h] * 7)]
+    batch = pa.RecordBatch.from_arrays(columns, ["bucket", "doc_id", "digest", "hashes"])
+    marks = pa.Table.from_batches(passages._marked(iter([batch]))).to_pylist()
+    assert [(m["doc_id"], m["digest"]) for m in marks] == [(2, 8), (2, 9), (None, 8), (None, 9)]
+    assert {m["marks"] for m in marks} == {np.packbits(np.ones(5, bool)).tobytes()}
+
+
 def test_contamination(spark, docs, rows, none):
     rng = random.Random(3)
     texts = [r[1] for r in rows if (r[1] or "").strip() and len(r[1]) < 3000]
