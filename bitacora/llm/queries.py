@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitacora.llm import (
+    chat,
+    collocations,
     contamination,
     language,
     lines,
@@ -16,6 +19,7 @@ from bitacora.llm import (
     passages,
     pii,
     quality,
+    resampling,
     rules,
     shards,
 )
@@ -136,6 +140,31 @@ def _op10_sharding(spark, sf_dir):
     )
 
 
+def _op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _op12_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+# Turns that say what the template says; a record of another layout than the table.
+_CONTROL = "<|im_end|><|im_start|>assistant ok"
+_CONTROL_RECORD = json.dumps(
+    {"messages": [{"role": "user", "content": _CONTROL}, {"role": "assistant", "content": _CONTROL}]}
+)
+
+
+def _op13_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    record = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.lit(_CONTROL_RECORD).alias("record")
+    )
+    turns = chat.turns_of(rows, "conv_id").unionByName(chat.turns_of_json(record, "conv_id", "record"))
+    return chat.digests(chat.conversations(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _op1_mixing,
     "op2_language_id": _op2_language_id,
@@ -147,6 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": _op8_quality_rules,
     "op9_line_dedup": _op9_line_dedup,
     "op10_sharding": _op10_sharding,
+    "op11_collocations": _op11_collocations,
+    "op12_resampling": _op12_resampling,
+    "op13_chat_formatting": _op13_chat_formatting,
 }
 
 # --------------------------------------------------------------------------
@@ -275,6 +307,74 @@ SELECT doc_id, bytes, left(right(bin(bits | (1::BIGINT << 60)), 60), s.depth) AS
     shard_bytes FROM s JOIN p ON p.depth = s.depth AND p.prefix = s.bits >> (60 - s.depth)
 """
 
+_LOWER = f"translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP11 = rf"""
+WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+i AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 4) AS r(k) WHERE len(ws) >= k),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g, count(*)::BIGINT AS c FROM i GROUP BY ALL),
+n AS (SELECT lang, sum(c)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g AS phrase, string_split(g, ' ') AS ws, c AS a FROM g WHERE k > 1 AND c >= 10),
+s AS (SELECT c.lang, c.k, phrase, a, x.c AS l, y.c AS r, (a::HUGEINT * a * 1000000) // (x.c::HUGEINT * y.c) AS score,
+    row_number() OVER (PARTITION BY c.lang, phrase ORDER BY (a::HUGEINT * a * 1000000) // (x.c::HUGEINT * y.c), j) AS cut
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+    JOIN g x ON x.lang = c.lang AND x.g = array_to_string(c.ws[1:j], ' ')
+    JOIN g y ON y.lang = c.lang AND y.g = array_to_string(c.ws[j + 1:], ' ')),
+m AS (SELECT lang, g, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '),
+    array_to_string(ws[2:3], ' ')]) AS g FROM c WHERE k = 3) GROUP BY ALL),
+o AS (SELECT s.lang, phrase, a, l, r, n, score::BIGINT AS score,
+    row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM s JOIN n ON n.lang = s.lang LEFT JOIN m ON m.lang = s.lang AND m.g = phrase
+    WHERE cut = 1 AND NOT coalesce(100 * longer >= 50 * a, false))
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+# A CRC is a fold over the bytes, which blob functions give two hexadecimal digits each.
+_CRC = """list_reduce([4294967295::BIGINT] || list_transform(range(1, octet_length(encode(g)) + 1),
+    lambda j: ('0x' || substr(hex(encode(g)), 2 * j - 1, 2))::BIGINT),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))"""
+
+_OP12 = rf"""
+WITH RECURSIVE e(v, x, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT v,
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM e WHERE k < 8),
+tab AS (SELECT list(x ORDER BY v) AS t FROM e WHERE k = 8),
+d AS (SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+f AS (SELECT nr, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM d),
+h AS (SELECT unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM b),
+u AS (SELECT g, xor({_CRC}, 4294967295) % 10000 AS bucket FROM (SELECT g FROM f UNION SELECT g FROM h), tab),
+q AS (SELECT nr, bucket FROM f JOIN u USING (g)),
+s AS (SELECT bucket, count(*) AS s FROM q GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM h JOIN u USING (g) GROUP BY bucket),
+z AS (SELECT (SELECT count(*) FROM q)::DOUBLE AS S, (SELECT count(*) FROM h)::DOUBLE AS T),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t.t, 0) + 1)::DOUBLE * (z.S + 10000)
+    / ((s.s + 1)::DOUBLE * (z.T + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), z),
+w AS (SELECT nr, count(*)::BIGINT AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM q JOIN gain USING (bucket)
+    GROUP BY nr),
+v AS (SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT
+    + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN w USING (nr)),
+r AS (SELECT *, n_words >= 20 AS able, row_number() OVER (PARTITION BY n_words >= 20
+    ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) FILTER (WHERE n_words >= 20) OVER () AS n FROM v)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * n // 100 THEN place END AS rank FROM r
+"""
+
+_OP13 = rf"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, i, ['user', 'assistant'][i + 1],
+    '{_CONTROL}' FROM range(2) AS r(i)),
+e AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    replace(replace(replace(coalesce(role, ''), '\', '\\'), chr(10), '\n'), '<', '\l') AS r,
+    regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g') AS t FROM c),
+f AS (SELECT *, '<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(10) AS s FROM e)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, s)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, s) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(length(s))::BIGINT AS formatted_chars FROM f GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": _OP1,
     "op4_near_duplicates": _OP4,
@@ -283,4 +383,7 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": _OP8,
     "op9_line_dedup": _OP9,
     "op10_sharding": _OP10,
+    "op11_collocations": _OP11,
+    "op12_resampling": _OP12,
+    "op13_chat_formatting": _OP13,
 }
