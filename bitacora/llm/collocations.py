@@ -29,10 +29,12 @@ cut after ``MAX_CHUNK`` words.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +54,10 @@ SLICE = 1 << 18
 FILTER_BITS = 1 << 26
 # Partial counts a task holds before it passes them on.
 HELD = 200_000
-# Words whose hashes are looked at together.
-WORDS_AT_ONCE = 1 << 16
+# Bytes of chunks whose n-grams are counted together.
+BYTES_AT_ONCE = 1 << 23
 # Candidates of one language that are ranked together at first.
-RANKED = 200_000
+RANKED = 8192
 # Candidates from which their parts are looked up under several salts.
 SALTED = 1_000_000
 
@@ -63,6 +65,7 @@ _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)
 )
 _BLANK = re.compile(rb"[ \n]")
+_GRAMS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,40 +140,55 @@ def chunks(text: bytes | None, max_words: int = MAX_WORDS, size: int = SLICE) ->
         yield b" ".join(held), len(held)
 
 
-def _text_array(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary()).cast(pa.string())
-
-
 def _parsed(max_words: int):
     """Chunks of a task's texts, with partial frequencies."""
+    names = ["lang", "chunk", "owned", "n"]
 
-    def out(counts: dict) -> pa.RecordBatch:
-        langs, texts, owned = zip(*counts)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()), _text_array(texts), pa.array(owned, pa.int32()),
-                pa.array(counts.values(), pa.int64()),
-            ],
-            ["lang", "chunk", "owned", "n"],
-        )
+    def out(whole: dict[str, Counter], cut: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in whole.items():
+            counts.pop(b"", None)
+            owned = [c.count(b" ") + 1 for c in counts]
+            yield batch_of(lang, list(counts), owned, list(counts.values()))
+        for lang, counts in cut.items():
+            texts, owned = zip(*counts)
+            yield batch_of(lang, texts, owned, list(counts.values()))
+
+    def batch_of(lang: str, texts, owned, n) -> pa.RecordBatch:
+        columns = [pa.repeat(lang, len(texts)), pa.array(texts, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(owned, pa.int32()), pa.array(n, pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, bytes, int], int] = {}
+        # Pieces that are one chunk own all their words; of others that is counted too.
+        whole: dict[str, Counter] = {}
+        cut: dict[str, Counter] = {}
         for batch in batches:
             langs = batch["lang"].to_pylist()
-            for lang, text in zip(langs, batch["text"].cast(pa.binary())):
-                for chunk, owned in chunks(text.as_py(), max_words):
-                    key = lang, chunk, owned
-                    counts[key] = counts.get(key, 0) + 1
-                    if len(counts) >= HELD:
-                        yield out(counts)
-                        counts = {}
-        if counts:
-            yield out(counts)
+            for lang, value in zip(langs, batch["text"].cast(pa.binary())):
+                text = value.as_py()
+                mine = whole.setdefault(lang, Counter())
+                if text is not None and len(text) <= SLICE:
+                    short, text = _short_pieces(text)
+                    mine.update(map(b" ".join, map(bytes.split, short)))
+                if text:
+                    cut.setdefault(lang, Counter()).update(chunks(text, max_words))
+                if sum(map(len, whole.values())) + sum(map(len, cut.values())) >= HELD:
+                    yield from out(whole, {k: c for k, c in cut.items() if c})
+                    whole, cut = {}, {}
+        yield from out(whole, {k: c for k, c in cut.items() if c})
 
     return run
 
 
+def _short_pieces(text: bytes) -> tuple[list[bytes], bytes]:
+    """Pieces that can't have enough words to be parsed, and a text of the others."""
+    parts = text.translate(_TABLE).split(b"\n")
+    # A word and the blank before it are two bytes.
+    short = [p for p in parts if len(p) < 4 * TRIGGER]
+    if len(short) == len(parts):
+        return short, b""
+    return short, b"\n".join([p for p in parts if len(p) >= 4 * TRIGGER])
+
+
 class Filter:
     """Which n-grams of one length may be frequent: a bit for each, by hash."""
 
@@ -211,55 +229,61 @@ def _bits(size: int, n_bits: int):
     return run
 
 
+def _grouped(codes: list[np.ndarray]) -> np.ndarray:
+    """Numbers that are equal where all the codes are, exactly."""
+    found = codes[0]
+    for more in codes[1:]:
+        found = np.unique(found * np.int64(int(more.max()) + 1) + more, return_inverse=True)[1]
+    return found
+
+
 def _counted(size: int, known):
     """N-grams of one length in the chunks of a task, with partial counts."""
 
-    def out(counts: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
-        for lang, grams in counts.items():
-            columns = [pa.array([lang] * len(grams), pa.string()), _text_array(list(grams))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(list(grams.values()), pa.int64())], ["lang", "phrase", "n"]
-            )
-
-    def starts(words: list[bytes], sizes: np.ndarray, owned: np.ndarray, lang: np.ndarray) -> np.ndarray:
-        """Places in the words of several chunks where an n-gram begins that is to be counted."""
-        at = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        may = at < np.repeat(np.minimum(owned, sizes - size + 1), sizes)
+    def grams(table: pa.Table) -> pa.RecordBatch:
+        chunk = table["chunk"].combine_chunks()
+        split = pc.split_pattern(chunk, " ")
+        sizes = np.diff(split.offsets.to_numpy())
+        words = split.flatten()
+        coded = words.dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        lang = table["lang"].combine_chunks().dictionary_encode()
+        lang_of = np.repeat(lang.indices.to_numpy().astype(np.int64), sizes)
+        # Of the words of a chunk those that it owns, if the n-gram fits.
+        at = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        may = at < np.repeat(np.minimum(table["owned"].to_numpy(), sizes - size + 1), sizes)
         if known is not None:
-            hashes = gram_hashes(word_hashes(words), size - 1)
-            good = np.zeros(len(words) + 1, bool)
-            good[: len(hashes)] = known.value.passes(hashes ^ np.repeat(lang, sizes)[: len(hashes)])
+            each = word_hashes(coded.dictionary.cast(pa.binary()).to_pylist())
+            langs = np.array([_lang_hash(x) for x in lang.dictionary.to_pylist()], np.uint64)
+            hashes = gram_hashes(each[code], size - 1)
+            good = np.zeros(len(code) + 1, bool)
+            good[: len(hashes)] = known.value.passes(hashes ^ langs[lang_of[: len(hashes)]])
             may &= good[:-1] & good[1:]
-        return np.flatnonzero(may)
+        found = np.flatnonzero(may)
+        times = np.repeat(table["n"].to_numpy(), sizes)[found]
+        if not len(found):
+            return pa.RecordBatch.from_pydict({"lang": [], "phrase": [], "n": []}, _GRAMS)
+        key = _grouped([lang_of[found], *(code[found + k] for k in range(size))])
+        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+        counts = np.zeros(len(first), np.int64)
+        np.add.at(counts, group, times)
+        found = found[first]
+        parts = [words.take(pa.array(found + k)) for k in range(size)]
+        phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
+        columns = [lang.dictionary.take(pa.array(lang_of[found])), phrase, pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, schema=_GRAMS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, dict[bytes, int]] = {}
+        held: list[pa.RecordBatch] = []
+        chars = 0
         for batch in batches:
-            langs, times = batch["lang"].to_pylist(), batch["n"].to_pylist()
-            hash_of = {x: _lang_hash(x) for x in set(langs)}
-            owned = batch["owned"].to_numpy()
-            texts = batch["chunk"].cast(pa.binary()).to_pylist()
-            row = 0
-            while row < len(texts):
-                first, words, sizes = row, [], []
-                while row < len(texts) and len(words) < WORDS_AT_ONCE:
-                    mine = texts[row].split(b" ")
-                    words += mine
-                    sizes.append(len(mine))
-                    row += 1
-                lang = np.array([hash_of[x] for x in langs[first:row]], np.uint64)
-                found = starts(words, np.array(sizes), owned[first:row], lang)
-                owner = np.repeat(np.arange(first, row), sizes)[found]
-                for at, r in zip(found.tolist(), owner.tolist()):
-                    mine = counts.get(langs[r])
-                    if mine is None:
-                        mine = counts[langs[r]] = {}
-                    gram = words[at] if size == 1 else b" ".join(words[at : at + size])
-                    mine[gram] = mine.get(gram, 0) + times[r]
-                if sum(map(len, counts.values())) >= HELD:
-                    yield from out(counts)
-                    counts = {}
-        yield from out(counts)
+            held.append(batch)
+            chars += batch["chunk"].nbytes
+            if chars >= BYTES_AT_ONCE:
+                yield grams(pa.Table.from_batches(held))
+                held, chars = [], 0
+        if held:
+            yield grams(pa.Table.from_batches(held))
 
     return run
 
