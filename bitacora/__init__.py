@@ -17,7 +17,12 @@ from bitacora.operators.separation import attach_groups, separate_cancelled
 from bitacora.plans.mining import drop_frequent, mine_map, tokenize_frequent
 from bitacora.plans.pipeline import analyze, run, separate_to_files
 from bitacora.plans.report import process_report, process_rows
-from bitacora.sources.dictionaries import default_precincts, load_phrases, load_precincts
+from bitacora.sources.dictionaries import (
+    default_precincts,
+    load_phrase_table,
+    load_phrases,
+    load_precincts,
+)
 from bitacora.sources.reports import read_report
 from bitacora.sources.sinks import write_csv
 
@@ -37,6 +42,7 @@ __all__ = [
     "format_list",
     "graph_edges",
     "graph_nodes",
+    "load_phrase_table",
     "load_phrases",
     "load_precincts",
     "mine_map",

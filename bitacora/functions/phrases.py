@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitacora.functions.dialect import edges, literal
+from bitacora.functions.phrase_table import replace_from_table
 
 # A private-use character: word edges see it as a non-word character, and a
 # text that already holds it takes the slower branch below.
@@ -72,14 +73,25 @@ def dictionary_pattern(replacements: dict[str, str]) -> str:
     return f"(?iU){before}({'|'.join(literal(p) for p in by_length)}){after}"
 
 
+# A dictionary of more phrases is a table that is joined, not a pattern in the plan.
+MOST_IN_PATTERN = 1000
+
+
 def replace_phrases(
-    df: DataFrame, text: str, replacements: dict[str, str], result: str
+    df: DataFrame, text: str, replacements: dict[str, str] | DataFrame, result: str
 ) -> DataFrame:
     """Replaces every dictionary phrase in one pass from left to right.
 
     Matches are marked by one pattern, the text is cut at the marks, and each
-    match is looked up.
+    match is looked up.  Large dictionaries, and those that are tables (phrase, new)
+    already, are looked up by a join; a stream can't join what is computed from it, so
+    there a dictionary always is a pattern.
     """
+    if isinstance(replacements, DataFrame):
+        return replace_from_table(df, text, replacements, result)
+    if len(replacements) > MOST_IN_PATTERN and not df.isStreaming:
+        table = df.sparkSession.createDataFrame(list(replacements.items()), "phrase string, new string")
+        return replace_from_table(df, text, table, result)
     column = F.col(text)
     if not replacements:
         return df.withColumn(result, column)

@@ -102,7 +102,7 @@ def extract_relations(
 
 
 def extract_notes(
-    df: DataFrame, notes: str = "Notas", phrases: dict[str, list[str]] | None = PHRASES
+    df: DataFrame, notes: str = "Notas", phrases: dict[str, list[str]] | DataFrame | None = PHRASES
 ) -> DataFrame:
     """Adds the six extraction columns for the note column ``notes``.
 
@@ -111,14 +111,16 @@ def extract_notes(
     ``cancelado`` no folio occurs twice in or across them; linked folios win
     over references, those over split targets, those over split origins.
     ``nota_limpia`` is the text left after removing the references and replacing
-    the dictionary phrases.  ``phrases`` of None skips the replacement.
+    the dictionary phrases.  ``phrases`` of None skips the replacement; a large dictionary
+    is better a table (phrase, new), as ``load_phrase_table`` gives it.
     """
     clash = sorted(set(EXTRACTION_COLUMNS) & set(df.columns))
     if clash:
         raise ValueError(f"input already has result columns: {clash}")
     given = df.columns
     df = extract_relations(df, notes)
-    df = replace_phrases(df, "_rest", flatten_dictionary(phrases or {}), "_rest")
+    table = phrases if isinstance(phrases, DataFrame) else flatten_dictionary(phrases or {})
+    df = replace_phrases(df, "_rest", table, "_rest")
     df = df.withColumns(
         {
             "_linked": folios_in(F.col("_linked")),

@@ -53,7 +53,7 @@ def analyze(
     df: DataFrame,
     order: str | None = ORDER,
     precincts: Precincts | None | str = "default",
-    phrases: dict[str, list[str]] | None = PHRASES,
+    phrases: dict[str, list[str]] | DataFrame | None = PHRASES,
     ws: Workspace | None = None,
     hot_rows: int = HOT_ROWS,
     keep_groups: bool = True,
@@ -126,7 +126,7 @@ def run(
     clean_path: str | None = None,
     relations_path: str | None = None,
     precincts: Precincts | None | str = "default",
-    phrases: dict[str, list[str]] | None = PHRASES,
+    phrases: dict[str, list[str]] | DataFrame | None = PHRASES,
     keep_order: bool = False,
     single_file: bool = False,
     **read_options,

@@ -18,7 +18,7 @@ from bitacora.sources.sinks import write_csv
 def process_rows(
     df: DataFrame,
     precincts: Precincts | None | str = "default",
-    phrases: dict[str, list[str]] | None = PHRASES,
+    phrases: dict[str, list[str]] | DataFrame | None = PHRASES,
     keep: tuple[str, ...] = (ORDER,),
 ) -> DataFrame:
     """Filter, extract, normalise, look up, project: one stage without a shuffle.
@@ -38,7 +38,7 @@ def process_report(
     input_path: str | list[str],
     output_path: str | None = None,
     precincts: Precincts | None | str = "default",
-    phrases: dict[str, list[str]] | None = PHRASES,
+    phrases: dict[str, list[str]] | DataFrame | None = PHRASES,
     **read_options,
 ) -> DataFrame:
     """Processed report of a CSV report, also written as CSV if asked for."""

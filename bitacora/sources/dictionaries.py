@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitacora.fixed_values import PHRASES, PRECINCTS
+from bitacora.functions.text import strip
 from bitacora.sources.reports import literal_path
 
 log = logging.getLogger(__name__)
@@ -95,3 +96,27 @@ def load_phrases(spark: SparkSession, path: str | None = None) -> dict[str, list
     except (ValueError, AttributeError, TypeError) as error:
         log.warning("cannot read phrase dictionary %s: %s", path, error)
         return None
+
+
+def load_phrase_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The same phrases as a table (phrase, new) that never passes through the driver.
+
+    Phrases are in lower case, the last category of one counts, and a blank category
+    replaces by a space.  None for a missing or broken file.
+    """
+    raw = _read_whole(spark, path)
+    if raw is None:
+        log.warning("no phrase dictionary at %s: phrases are kept", path)
+        return None
+    parsed = raw.select("file", F.from_json("value", "map<string,array<string>>").alias("found"))
+    if not parsed.where("found IS NULL").isEmpty():
+        log.warning("cannot read phrase dictionary %s", path)
+        return None
+    return (
+        parsed.select("file", F.posexplode(F.map_entries("found")).alias("_category_at", "_entry"))
+        .select("file", "_category_at", "_entry.key", F.posexplode("_entry.value").alias("_at", "_phrase"))
+        .where("_phrase <> ''")
+        .groupBy(F.lower("_phrase").alias("phrase"))
+        .agg(F.max_by("key", F.struct("file", "_category_at", "_at")).alias("category"))
+        .select("phrase", F.when(strip(F.col("category")) == "", " ").otherwise(F.col("category")).alias("new"))
+    )

@@ -11,12 +11,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from bitacora.fixed_values import MISSING_TOKENS
 from bitacora.operators.rows import spread_rows
+from bitacora.sources.records import SPLITTABLE, goes_on, plain_cells, read_records, scan_tasks
 
 # Order of the rows in the input: file, block of the file, row in the block.
 ORDER = "_orden"
-_BROKEN = "_corrupt_record"
+BROKEN = "_corrupt_record"
 # The width of a record shows only when all of its cells are parsed.
-_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
 
 
 def _escaped(path: str) -> str:
@@ -41,11 +42,12 @@ def _named_file(uri: str) -> str:
 
 
 def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, latin1, multiline) for every input file, from one pass over its lines.
+    """(file, latin1, multiline, goes_on) for every input file, from one pass over its lines.
 
     A file with any line that is not UTF-8 is read as Latin-1.  A quoted field
-    can only span lines if some line holds an odd number of quotes; a file
-    without such a line can be split among tasks.
+    can only span lines if some line holds an odd number of quotes.  In a file that
+    goes on, text may follow a closing quote in its cell.  All others are left to the
+    plain reader.
     """
     line = F.col("value")
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
@@ -55,9 +57,10 @@ def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             (~F.is_valid_utf8(line)).alias("latin1"),
             (quotes % 2 == 1).alias("multiline"),
+            goes_on(F.when(F.is_valid_utf8(line), line).otherwise("")).alias("goes_on"),
         )
         .groupBy("file")
-        .agg(F.max("latin1").alias("latin1"), F.max("multiline").alias("multiline"))
+        .agg(*[F.max(c).alias(c) for c in ("latin1", "multiline", "goes_on")])
     )
 
 
@@ -70,22 +73,22 @@ def _first_record(
     for patterns; a record of another width comes with its text, which tells it.
     """
     cells = [f"c{i}" for i in range(width)]
-    schema = StructType([StructField(c, StringType()) for c in [*cells, _BROKEN]])
+    schema = StructType([StructField(c, StringType()) for c in [*cells, BROKEN]])
     reader = spark.read.schema(schema).options(
-        header=False, columnNameOfCorruptRecord=_BROKEN, **options
+        header=False, columnNameOfCorruptRecord=BROKEN, **options
     )
-    fields = _field_count(F.col(_BROKEN)).alias("fields")
-    row = reader.csv(path).select(*cells, _BROKEN, fields).first()
+    fields = _field_count(F.col(BROKEN)).alias("fields")
+    row = reader.csv(path).select(*cells, BROKEN, fields).first()
     if row is None:
         return None
-    count = width if row[_BROKEN] is None else row["fields"]
+    count = width if row[BROKEN] is None else row["fields"]
     return list(row)[:count] if count <= width else _first_record(spark, path, options, count)
 
 
 def _column_names(
     spark: SparkSession, path: str | list[str], options: dict
-) -> tuple[list[str], bool]:
-    """Names from the header record, and whether they stand there as they are.
+) -> tuple[list[str], list[str | None]]:
+    """Names from the header record, and its cells as they are.
 
     Repeated names get .1, .2 and so on, empty ones a name by their position.
     """
@@ -105,7 +108,7 @@ def _column_names(
         other = folded.setdefault(name.lower(), name)
         if other != name:
             raise ValueError(f"columns differ only in case: {other!r}, {name!r}")
-    return names, names == list(first)
+    return names, first
 
 
 def _check_headers(
@@ -136,34 +139,63 @@ def _field_count(record: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def _read_alike(
-    spark: SparkSession, path: str | list[str], names: list[str], options: dict, long_rows: str
-) -> DataFrame:
-    fields = [StructField(n, StringType()) for n in [*names, _BROKEN]]
-    df = (
-        spark.read.schema(StructType(fields))
-        .options(header=True, columnNameOfCorruptRecord=_BROKEN, **options)
-        .csv(path)
-        .withColumn(
-            ORDER,
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ),
-        )
-    )
-    # Records of any unexpected width come with their text: lines of blanks go,
-    # short rows stay padded with nulls, long ones are an error.
+def _order(file: Column | str, block: Column | str, row: Column | str) -> Column:
+    columns = (F.col(c) if isinstance(c, str) else c for c in (file, block, row))
+    return F.struct(*[c.alias(n) for c, n in zip(columns, ("file", "block", "row"))])
+
+
+def checked_width(df: DataFrame, names: list[str], long_rows: str = "fail") -> DataFrame:
+    """Rows of the width of the header, from rows that come with the text of odd records.
+
+    Lines of blanks go, short rows stay padded with nulls, long ones are an error.
+    """
     # (A scan may not ask for the record alone, so the first cell is looked at too.)
-    record, first = F.col(_BROKEN), F.col(f"`{names[0]}`")
+    record, first = F.col(BROKEN), F.col(f"`{names[0]}`")
     filled = record.isNull() | first.rlike(r"\S") | record.rlike(r"\S")
     df = df.where(F.coalesce(filled, F.lit(False)))
     if long_rows == "fail":
         too_long = F.coalesce(_field_count(record) > len(names), F.lit(False))
         message = F.concat(F.lit(f"more than {len(names)} fields in record: "), record)
         df = df.where(F.assert_true(~too_long, message).isNull())
-    return df.drop(_BROKEN)
+    return df.drop(BROKEN)
+
+
+def report_schema(names: list[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in [*names, BROKEN]])
+
+
+def _read_alike(
+    spark: SparkSession, path: str | list[str], names: list[str], options: dict, long_rows: str
+) -> DataFrame:
+    df = (
+        spark.read.schema(report_schema(names))
+        .options(header=True, columnNameOfCorruptRecord=BROKEN, **options)
+        .csv(path)
+    )
+    at = _order("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return checked_width(df.withColumn(ORDER, at), names, long_rows)
+
+
+def _read_split(
+    spark: SparkSession, path: str | list[str], names: list[str], header: list[str | None],
+    encoding: str, long_rows: str,
+) -> DataFrame:
+    """The same rows of files whose records span lines, by as many tasks as they have blocks."""
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    records = read_records(spark, path, encoding).withColumn("record", plain_cells(F.col("record")))
+    width = len(header)
+    wide = ", ".join(f"c{i} string" for i in range(width + 1))
+    cells = F.from_csv("record", F.lit(wide), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    want = F.array(*[F.lit(c).cast("string") for c in [*header, None]])
+    found = F.array(*[cells.getField(f"c{i}") for i in range(width + 1)])
+    other = F.concat(F.lit(f"the header is not {header} but: "), F.col("record"))
+    # A header that is another stops the job, one that is right is no row.
+    bad = F.when(~found.eqNullSafe(want), F.raise_error(other).cast("boolean"))
+    rows = records.where(F.when(F.col("is_header"), F.coalesce(bad, F.lit(False))).otherwise(True))
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in report_schema(names))
+    row = F.from_csv("record", F.lit(fields), options).alias("_row")
+    df = rows.select(row, _order("file", "block", "row").alias(ORDER)).select("_row.*", ORDER)
+    return checked_width(df, names, long_rows)
 
 
 def missing_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -190,6 +222,9 @@ def read_report(
     unless both ``encoding`` and ``multiline`` say so for all.  Records longer
     than the header stop the job, or lose the surplus with ``long_rows="keep"``.
     The column ``_orden`` holds the order of the rows.
+
+    Files whose records span lines are read by block all the same, unless their
+    encoding has quotes or line ends of several bytes.
     """
     if long_rows not in ("fail", "keep"):
         raise ValueError("long_rows is 'fail' or 'keep'")
@@ -203,7 +238,7 @@ def read_report(
             found = "ISO-8859-1" if row["latin1"] else "UTF-8"
             kind = (
                 found if encoding is None else encoding,
-                row["multiline"] if multiline is None else multiline,
+                row["multiline"] or row["goes_on"] if multiline is None else multiline,
             )
             kinds.setdefault(kind, []).append(_named_file(row["file"]))
         if len(kinds) == 1:
@@ -212,17 +247,23 @@ def read_report(
         raise ValueError(f"no header in {path}")
     names = None
     parts = []
+    cores = spark.sparkContext.defaultParallelism
     for (charset, spans_lines), files in sorted(kinds.items(), key=lambda kind: kind[0]):
-        options = {**_CSV, "encoding": charset, "multiLine": spans_lines}
-        header, as_written = _column_names(spark, files, options)
+        options = {**CSV_OPTIONS, "encoding": charset, "multiLine": spans_lines}
+        found, header = _column_names(spark, files, options)
         if names is None:
-            names = header
-        elif header != names:
-            raise ValueError(f"headers differ between files: {names} and {header}")
+            names = found
+        elif found != names:
+            raise ValueError(f"headers differ between files: {names} and {found}")
+        if spans_lines and charset.lower() in SPLITTABLE:
+            part = _read_split(spark, files, names, header, charset, long_rows)
+            # A small file has fewer blocks than there are cores for its rows.
+            parts.append(part.repartition(cores) if scan_tasks(spark, files) < cores else part)
+            continue
         # Every file is checked to have this header: by the scan, which compares
         # names, or here where the names had to be made up.
-        options["enforceSchema"] = not as_written
-        if not as_written:
+        options["enforceSchema"] = names != list(header)
+        if options["enforceSchema"]:
             _check_headers(spark, files, len(names), options)
         part = _read_alike(spark, files, names, options, long_rows)
         parts.append(spread_rows(part) if spans_lines else part)

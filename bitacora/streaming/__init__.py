@@ -1,5 +1,5 @@
 """Reports from files that keep arriving."""
 
-from bitacora.streaming.report import read_report_stream, stream_report
+from bitacora.streaming.report import read_report_stream, stream_files, stream_report
 
-__all__ = ["read_report_stream", "stream_report"]
+__all__ = ["read_report_stream", "stream_files", "stream_report"]
