@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ from bitacora.functions.lists import prioritized_distinct  # noqa: E402
 from bitacora.functions.phrases import flatten_dictionary, replace_phrases  # noqa: E402
 from bitacora.functions.text import repair_mojibake  # noqa: E402
 from bitacora.operators.graph import connected_components  # noqa: E402
+from bitacora.operators.growing import GrowingComponents  # noqa: E402
 from bitacora.operators.rows import check_columns, spread_rows  # noqa: E402
 from bitacora.operators.separation import attach_groups  # noqa: E402
 from bitacora.plans.pipeline import analyze  # noqa: E402
@@ -52,9 +54,9 @@ from bitacora.storage import Workspace  # noqa: E402
 try:
     import corpus_pipeline
     from bitacora.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "bitacora.llm"):
-        raise
+except ImportError as missing:
+    # Removed, or without a library of theirs: the warning tells which.
+    warnings.warn(f"without the training-data operators: {missing}", stacklevel=1)
     llm = corpus_pipeline = None
 
 SMOKE = "/root/testdata/sf0.001"
@@ -239,6 +241,15 @@ def _connected_components(spark, sf_dir):
     return labels.join(smallest, "label").select("folio", "componente")
 
 
+def _components_in_batches(spark, sf_dir):
+    """The same components from edges that come in three batches, one after the other."""
+    edges, _ = Workspace(spark).stage(graph_edges(_report(spark, sf_dir)))
+    growing = GrowingComponents(spark, f"{Workspace(spark).path}/components")
+    for k in range(3):
+        growing.add(edges.where(F.pmod(F.xxhash64("src", "dst"), F.lit(3)) == k))
+    return growing.labels().withColumnRenamed("label", "componente")
+
+
 def _component_sizes(spark, sf_dir):
     groups = component_table(_report(spark, sf_dir), ROW)
     return groups.groupBy(F.col("Tamano_Grupo").alias("tamano")).agg(
@@ -389,6 +400,55 @@ def _phrases_from_json(spark, sf_dir):
     )
 
 
+def _read_multiline_report(spark, sf_dir):
+    """Incidents whose notes span lines, read in blocks."""
+    folder = f"{Workspace(spark).path}/notes.csv"
+    notes = F.concat(F.lit("uno\n"), "Notas", F.lit('\n"fin", dos'))
+    raw = incidents(spark, sf_dir).withColumn("Notas", notes)
+    raw.write.options(header=True, quote='"', escape='"').csv(folder)
+    report = read_report(spark, folder)
+    return report.select(F.col(ROW).cast("bigint").alias(ROW), "Folio", "Municipio", "Notas")
+
+
+def _orders_of_customers(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return customers, orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _replace_many_phrases(spark, sf_dir):
+    """A dictionary of all customers: the longer of two phrases that begin alike counts."""
+    customers, orders = _orders_of_customers(spark, sf_dir)
+    member = F.concat_ws(" ", "c_name", "c_mktsegment")
+    phrases = customers.select(
+        "c_name", F.concat(F.lit("cliente "), F.col("c_nationkey").cast("string")).alias("new")
+    ).union(
+        customers.where("c_custkey % 3 = 0").select(
+            member, F.concat(F.lit("socio "), F.col("c_custkey").cast("string"))
+        )
+    ).toDF("phrase", "new")
+    word = F.when(F.col("o_orderkey") % 2 == 0, F.col("c_mktsegment")).otherwise("otro")
+    text = F.concat(F.lit("pide "), F.upper("c_name"), F.lit(" "), word, F.lit(", urgente"))
+    return replace_phrases(orders.withColumn("texto", text), "texto", phrases, "nota").select(
+        "o_orderkey", "nota"
+    )
+
+
+def _collapse_many_phrases(spark, sf_dir):
+    """A token for every customer; some tokens are part of phrases in turn."""
+    customers, orders = _orders_of_customers(spark, sf_dir)
+    number = F.col("c_custkey").cast("string")
+    tokens = customers.select(
+        "c_name", F.concat(F.lit("<<C_"), number, F.lit(">>")), (2 * F.col("c_custkey")).alias("at")
+    ).union(
+        customers.where("c_custkey % 5 = 0").select(
+            F.concat(F.lit("C_"), number, F.lit(">>  ya")), F.lit("OK"), 2 * F.col("c_custkey") + 1
+        )
+    ).toDF("phrase", "token", "at")
+    text = F.concat(F.lit("pide "), "c_name", F.lit(" ya, fin"))
+    return collapse_phrases(orders.withColumn("nota", text), "nota", tokens).select("o_orderkey", "nota")
+
+
 def _missing_dictionaries(spark, sf_dir):
     """Without dictionaries precincts stay empty and phrases stay in the text."""
     nowhere = f"{Workspace(spark).path}/none.json"
@@ -504,6 +564,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "graph_edges": _graph_edges,
         "graph_nodes": _graph_nodes,
         "connected_components": _connected_components,
+        "components_in_batches": _components_in_batches,
         "component_sizes": _component_sizes,
         "component_numbers": _component_numbers,
         "component_numbers_by_folio": _component_numbers_by_folio,
@@ -530,6 +591,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unknown_characters": _unknown_characters,
         "required_columns": _required_columns,
         "components_of_mixed_folios": _components_of_mixed_folios,
+        "read_multiline_report": _read_multiline_report,
+        "replace_many_phrases": _replace_many_phrases,
+        "collapse_many_phrases": _collapse_many_phrases,
     }
 
 
@@ -781,6 +845,8 @@ def own_sql() -> dict[str, str]:
         "graph_nodes": f"WITH {_EDGES} SELECT folio FROM nodes",
         "connected_components": f"WITH {_COMPONENTS} SELECT folio, root AS componente "
         "FROM labelled WHERE size > 1",
+        "components_in_batches": f"WITH {_COMPONENTS} SELECT folio, root AS componente "
+        "FROM labelled WHERE size > 1",
         "component_sizes": f"WITH {_COMPONENTS} SELECT size AS tamano, "
         "count(DISTINCT root) AS componentes, count(*) AS folios FROM labelled GROUP BY size",
         "component_numbers": f'WITH {_COMPONENTS} SELECT folio AS "Folio", {group} FROM groups',
@@ -831,4 +897,13 @@ def own_sql() -> dict[str, str]:
         "required_columns": f"WITH {_RAW} SELECT unnest(['Folio', 'Tipo de Incidente', 'Notas']) "
         "AS columna, count(*) AS filas FROM raw",
         "components_of_mixed_folios": _mixed_components(),
+        "read_multiline_report": f"WITH {_RAW} SELECT fila, Folio, Municipio, "
+        "'uno' || chr(10) || Notas || chr(10) || '\"fin\", dos' AS Notas FROM raw",
+        "replace_many_phrases": "SELECT o_orderkey, 'pide ' || CASE WHEN c_custkey % 3 = 0 "
+        "AND o_orderkey % 2 = 0 THEN 'socio ' || c_custkey ELSE 'cliente ' || c_nationkey || ' ' || "
+        "CASE WHEN o_orderkey % 2 = 0 THEN c_mktsegment ELSE 'otro' END END || ', urgente' AS nota "
+        "FROM orders JOIN customer ON c_custkey = o_custkey",
+        "collapse_many_phrases": "SELECT o_orderkey, 'pide <<' || CASE WHEN c_custkey % 5 = 0 "
+        "THEN ' OK , fin' ELSE 'C_' || c_custkey || '>> ya, fin' END AS nota "
+        "FROM orders JOIN customer ON c_custkey = o_custkey",
     }
