@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
+from bitacora.llm.text import text_function
 from bitacora.operators.numbering import number_rows
 from bitacora.storage import Workspace
 
@@ -93,8 +94,7 @@ def _bucketed(window: int, buckets: int):
                 ["n_words", "buckets"],
             )
 
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "n_words bigint, buckets binary").asNondeterministic()
+    return text_function(run, "n_words bigint, buckets binary")
 
 
 def _counted(buckets: int):
@@ -124,8 +124,7 @@ def _weighed(gains):
                 ["n_features", "weight"],
             )
 
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "n_features bigint, weight bigint").asNondeterministic()
+    return text_function(run, "n_features bigint, weight bigint")
 
 
 def bucketed(texts: DataFrame, *keep: Column, window: int = WINDOW, buckets: int = BUCKETS) -> DataFrame:

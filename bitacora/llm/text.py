@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +37,12 @@ def at(array: Column, index: Column) -> Column:
     return F.get(array, index)
 
 
+def row_digest(doc_id: Column, text: Column) -> Column:
+    """32 hexadecimal digits that tell rows apart unless they agree in id and text."""
+    name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.md5(F.concat(name, F.lit(":"), F.md5(given(text))))
+
+
 def packed(docs: DataFrame, **more: Column) -> DataFrame:
     """``docs`` with each row as one struct ``row``: no name can clash with ``more``."""
     return docs.select(
@@ -46,6 +56,16 @@ def unpacked(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:
     return df.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], *more)
 
 
+def text_function(run, schema: str):
+    """``run``, which maps Arrow arrays of texts, as a function of a column.
+
+    Only the texts leave the JVM; the other columns of a row wait there.  It runs once a
+    row, whatever is asked of its result.
+    """
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, schema).asNondeterministic()
+
+
 # --------------------------------------------------------------------------
 # Inside tasks
 # --------------------------------------------------------------------------
@@ -63,6 +83,26 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+# Bytes of a text that are cut into words together.
+SLICE = 1 << 20
+_GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def text_hashes(data: bytes, size: int = SLICE) -> np.ndarray:
+    """Hashes of the words of a text, which is cut between words if it is long."""
+    parts, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        gap = _GAP.search(data, at + size) if len(data) - at > size else None
+        end = gap.end() if gap else len(data)
+        parts.append(word_hashes(data[at:end].split()))
+        at = end
+    return np.concatenate(parts)
+
+
+# Windows that are hashed together.
+_WINDOWS = 1 << 16
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Rabin-Karp hashes of all runs of ``size`` word hashes.
 
@@ -72,6 +112,10 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
+    if n > _WINDOWS:
+        # The place of a window is not part of its hash.
+        cuts = range(0, n, _WINDOWS)
+        return np.concatenate([window_hashes(hashes[k : min(n, k + _WINDOWS) + size - 1], size) for k in cuts])
     up, down = _powers(len(hashes))
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * down, out=sums[1:])
