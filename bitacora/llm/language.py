@@ -6,9 +6,12 @@ many occur in either.  ``LANDMARKS`` texts per language stand for all (Nyström)
 is what its kernels with the landmarks say, and one ridge regression per language against
 the rest weighs them.  Texts are scored in batches: presences times landmarks, times weights.
 
-Fitting looks at a bounded sample of ``ROWS`` labelled rows per language, chosen by a hash
-of their ids, and only at text and lang.  Every whole text is scored.  N-grams lie within
-words, which are runs of letters, in lower case with a blank on either side.
+Fitting looks at a bounded sample: of the ``LANGUAGES`` languages with the most rows, ``ROWS``
+labelled rows each, ``ROWS_IN_ALL`` at most, those with the smallest hashes of id and text; and
+only at text and lang.  Landmarks are ``LANDMARKS_IN_ALL`` at most.  So the model, which is built
+on the driver and broadcast, doesn't grow with the rows or the languages.  Every whole text is
+scored.  N-grams lie within words, which are runs of letters (Unicode categories L), in lower
+case with a blank on either side.
 
 A score only ranks the languages against one another: a text like none of them has
 kernels of 0 and a score of about a half.  Whether it is like any says its ``likeness``:
@@ -17,7 +20,9 @@ over the median of that share among the rows fitted for the language; the larges
 
 A text that is null or has no letter is ``und`` with score and likeness 0, as is every text where
 there was nothing to learn from.  Rows without an id are scored but not learned from.
-Each row is judged alone, so repeated rows get the same result.
+Each row is judged alone, so repeated rows get the same result; equal rows are learned from as
+often as they are among the sample.  An empty table has no result and teaches nothing.  Columns
+of any name pass in ``row``.
 """
 
 from __future__ import annotations
@@ -30,20 +35,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from bitacora.llm.text import packed
+from bitacora.llm.text import packed, text_function
 from bitacora.storage import Workspace
 
 ROWS, LANDMARKS = 256, 16
+LANGUAGES, ROWS_IN_ALL, LANDMARKS_IN_ALL = 256, 8192, 256
 # Landmarks are sought among texts of at least so many characters.
 LANDMARK_CHARS = 400
-# Counts of up to so many languages are broadcast; more are joined by a shuffle.
-BROADCAST_LANGUAGES = 10_000
 RIDGE = 0.1
 BATCH = 64
 UNKNOWN = "und"
 
+# Letters with numerals of other kinds than digits, which are taken out where there are any.
 _WORD = re.compile(r"[^\W\d_]+")
 # N-grams of 3 characters come after all shorter ones.
 _THREE = 1 << 42
@@ -51,7 +55,10 @@ _THREE = 1 << 42
 
 def presences(text: str | None) -> np.ndarray:
     """The n-grams of a text as sorted integers, each once; 21 bits a character."""
-    words = set(_WORD.findall((text or "").lower()))
+    found = set(_WORD.findall((text or "").lower()))
+    words = {w for w in found if w.isalpha()}
+    for mixed in found - words:
+        words.update("".join(c if c.isalpha() else " " for c in mixed).split())
     if not words:
         return np.zeros(0, np.int64)
     spaced = " " + "  ".join(sorted(words)) + " "
@@ -105,11 +112,11 @@ class Model:
     languages: list[str]
     typical: np.ndarray  # by language: the median share of known n-grams
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+    def predict(self, texts: pa.Array) -> list[tuple[str, float, float]]:
         """(language, score from 0 to 1, likeness) of each text."""
         out: list[tuple[str, float, float]] = []
         for k in range(0, len(texts), BATCH):
-            sets = [presences(t) for t in texts[k : k + BATCH]]
+            sets = [presences(t) for t in texts[k : k + BATCH].to_pylist()]
             if not self.languages:
                 out += [(UNKNOWN, 0.0, 0.0)] * len(sets)
                 continue
@@ -151,25 +158,36 @@ def _kernels(landmarks):
     return run
 
 
-def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
+def fit(
+    docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS, ws: Workspace | None = None
+) -> Model:
     """Learns from the rows that aren't held out and have a language and a letter."""
     sc = docs.sparkSession.sparkContext
+    # Of equal ids each text has a hash of its own, so no language hangs on one hash.
+    share = F.xxhash64("doc_id", "text").alias("share")
     learned = docs.where(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 4) != 2) & F.col("text").rlike(r"\p{L}")
-    ).select("doc_id", "lang", "text")
-    ws = Workspace(docs.sparkSession)
-    counts, seen = ws.stage(
-        learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), languages=F.count(F.lit(1))
+    ).select("doc_id", "lang", "text", share)
+    ws = ws or Workspace(docs.sparkSession)
+    hashes, _ = ws.stage(learned.select("lang", "share"))
+    common = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    common, seen = ws.stage(common, languages=F.count(F.lit(1)))
+    found_languages = max(1, seen["languages"] or 0)
+    rows = max(2, min(rows, ROWS_IN_ALL // found_languages))
+    landmarks = max(1, min(landmarks, LANDMARKS_IN_ALL // found_languages))
+    # The hash that the last wanted row has: with it the texts are thinned out before any is
+    # moved.  No more than LANGUAGES rows are broadcast.
+    least = Window.partitionBy("lang").orderBy("share")
+    limits, _ = ws.stage(
+        hashes.join(F.broadcast(common.select("lang")), "lang")
+        .withColumn("at", F.row_number().over(least))
+        .where(F.col("at") <= rows)
+        .groupBy("lang").agg(F.max("share").alias("limit"))
     )
-    # Broadcast, the counts thin the texts out before any is moved.
-    if seen["languages"] <= BROADCAST_LANGUAGES:
-        counts = F.broadcast(counts)
-    # About twice the rows wanted by a threshold on the hash; the window cuts the rest.
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("share", "doc_id")
     sample, _ = ws.stage(
-        learned.join(counts, "lang")
-        .where(share <= F.lit(2.0 * rows) / F.col("n"))
+        learned.join(F.broadcast(limits), "lang")
+        .where(F.col("share") <= F.col("limit"))
         .withColumn("at", F.row_number().over(order))
         .where(F.col("at") <= rows)
         .select("lang", "text", "at")
@@ -183,10 +201,12 @@ def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
     if not languages:
         return Model(None, np.zeros((0, 0)), [], np.zeros(0))
     found = Landmarks.of([np.frombuffer(bytes(r.v), np.int64) for r in marks], [r.lang for r in marks])
+    shared = sc.broadcast(found)
     fitted = (
         sample.select("lang", "text")
-        .mapInArrow(_kernels(sc.broadcast(found)), "lang string, v binary, shares binary").collect()
+        .mapInArrow(_kernels(shared), "lang string, v binary, shares binary").collect()
     )
+    shared.destroy()
     k = np.stack([np.frombuffer(bytes(r.v), np.float32) for r in fitted]).astype(np.float64)
     y = np.where(np.array([[r.lang == lang for lang in languages] for r in fitted]), 1.0, -1.0)
     # Every language weighs the same, however many rows it has.
@@ -211,24 +231,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``row`` with the document, ``lang_pred``, ``score`` and ``likeness``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = shared.value.predict(batch["text"].to_pylist())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = shared.value.predict(texts)
             columns = [
-                batch["row"],
                 pa.array([lang for lang, _, _ in found], pa.string()),
                 pa.array([score for _, score, _ in found], pa.float64()),
                 pa.array([like for _, _, like in found], pa.float64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score", "likeness"])
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "likeness"])
 
+    predicted = text_function(run, "lang_pred string, score double, likeness double")
     df = packed(docs, text=F.col("text"))
-    schema = T.StructType(
-        [
-            df.schema["row"],
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("likeness", T.DoubleType()),
-        ]
-    )
-    return df.mapInArrow(run, schema)
+    return df.select("row", predicted("text").alias("found")).select("row", "found.*")
