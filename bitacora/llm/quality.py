@@ -22,11 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bitacora.llm.language import remainder
 from bitacora.llm.passages import intervals
-from bitacora.llm.text import packed, window_hashes, word_hashes
+from bitacora.llm.text import packed, text_function, window_hashes, word_hashes
 
 ROWS = 20_000
 BINS, PAIR_BINS = 48, 12
@@ -208,8 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     )
     # Ids in the order of a hash; the sort keeps no more than the sample anywhere.
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
-    # As many rows as the sample at most: it can be broadcast.
+    # As many rows as the sample at most: it can be broadcast.  An id may have any number of
+    # texts: the sample is taken again of what was found, by a hash of both.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "quality").limit(rows)
     found = texts.select("quality", "text").mapInArrow(_measured, "quality int, x binary").collect()
     found.sort(key=lambda r: (bytes(r.x), r.quality))
     x = np.array([np.frombuffer(bytes(r.x)) for r in found]).reshape(-1, N_MEASUREMENTS)
@@ -220,12 +221,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``row`` with the document and its ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([measurements(t) for t in batch["text"].to_pylist()])
-            scores = shared.value.scores(x.reshape(-1, N_MEASUREMENTS))
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(scores)], ["row", "score"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            x = np.array([measurements(t.as_py()) for t in texts])
+            yield pa.array(shared.value.scores(x.reshape(-1, N_MEASUREMENTS)))
 
     df = packed(docs, text=F.col("text"))
-    schema = T.StructType([df.schema["row"], T.StructField("score", T.DoubleType())])
-    return df.mapInArrow(run, schema)
+    return df.select("row", text_function(run, "double")("text").alias("score"))
