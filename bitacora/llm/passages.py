@@ -10,17 +10,19 @@ those of later documents marked.  A document sends one row per bucket, its hashe
 packed, and gets back one row per bucket with a mark per hash; it knows the places,
 and merges marked windows into maximal intervals.
 
-Windows so common that a bucket of them would be large (a ``1 / HOT_SHARE`` of all
-windows; found on a sample, which only decides the way, not the result) don't travel:
-their first document is found by partial minima and broadcast.  As each is more than
-that share of the sample, there are fewer than ``HOT_SHARE`` of them.
+Windows so common that they would fill a bucket (a quarter of it, or a ``1 / HOT_SHARE`` of
+all windows; found on a sample, which only decides the way, not the result) don't travel:
+their first document is found by partial minima, and broadcast as long as there are
+``HOT_MOST`` of them at most.  Beyond that a filter of ``FILTER_BITS`` bits tells which windows
+go the other way; each document sends those once, partial minima find the first documents,
+and a join that Spark can split at hot windows brings back what is later.
 
 Hashes have 64 bits (62 where there are only 64 buckets): a window among 10^13 others is
 taken for an equal one with a chance of 5e-7.  Texts of one doc_id, or of none, are told
-apart by 64 bits as well.  A null text has no words.  Documents without an id come after all
+apart by 64 bits as well.  A null text has no words, an empty table no rows.  Documents without an id come after all
 others, so nothing is removed for their sake from others or among themselves.  Rows
 that agree in doc_id and text are one document given several times and get the same
-result.
+result.  Columns other than id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,6 +45,9 @@ HOT_SHARE = 10_000
 # Windows from which the search for common ones is worth it, and rows it looks at.
 HOT_WINDOWS = 1 << 20
 SAMPLE = 64
+# Common windows that are broadcast, 16 bytes each; bits of the filter beyond.
+HOT_MOST = 1 << 20
+FILTER_BITS = 1 << 26
 
 # Bytes of a hash that travel.
 _BYTES = 7
@@ -76,12 +81,23 @@ def _bucket_order(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray
     return buckets, np.argsort(buckets, kind="stable")
 
 
-def _hot_lookup(hashes: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which hashes are among the sorted hot ones, and their places there."""
-    if not len(hot):
-        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.intp)
-    places = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-    return hot[places] == hashes, places
+class Hot:
+    """Which windows are common: those of a sorted list, or all that a filter lets pass."""
+
+    def __init__(self, known: np.ndarray, bits: np.ndarray | None = None):
+        self.known, self.bits = known, bits
+
+    def which(self, hashes: np.ndarray) -> np.ndarray:
+        if self.bits is not None:
+            at = hashes >> np.uint64(64 - (len(self.bits).bit_length() + 5))
+            return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+        if not len(self.known):
+            return np.zeros(len(hashes), bool)
+        return self.known[self.places(hashes)] == hashes
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places in the list, for those that are in it."""
+        return np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
 
 
 def _every(size: int):
@@ -99,13 +115,14 @@ def _firsts(size: int, hot):
     """Smallest id of each hot window, per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot.value
+        known = hot.value.known
         least = np.full(len(known), _NONE, np.int64)
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found, places = _hot_lookup(text_windows(text, size), known)
-                if doc_id is not None and found.any():
-                    np.minimum.at(least, places[found], doc_id)
+                h = text_windows(text, size)
+                h = h[hot.value.which(h)]
+                if doc_id is not None and len(h):
+                    np.minimum.at(least, hot.value.places(h), doc_id)
         seen = least < _NONE
         columns = [pa.array(known[seen].view(np.int64)), pa.array(least[seen])]
         yield pa.RecordBatch.from_arrays(columns, ["h", "first"])
@@ -113,17 +130,34 @@ def _firsts(size: int, hot):
     return run
 
 
+def _hot_rows(size: int, hot):
+    """Per document each of its windows that the filter lets pass, once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
+                h = text_windows(text, size)
+                h = np.unique(h[hot.value.which(h)])
+                if len(h):
+                    columns = [
+                        pa.array(h.view(np.int64)), pa.array([doc_id] * len(h), pa.int64()),
+                        pa.array([digest] * len(h), pa.int64()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "digest"])
+
+    return run
+
+
 def _dealt(size: int, bits: int, hot):
     """Per document and bucket: the packed hashes of its windows that aren't hot."""
     names = ["bucket", "doc_id", "digest", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot.value
         for batch in batches:
             rows: list[list] = [[], [], [], []]
             for doc_id, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
                 h = text_windows(text, size)
-                h = h[~_hot_lookup(h, known)[0]]
+                h = h[~hot.value.which(h)]
                 buckets, order = _bucket_order(h, bits)
                 h, buckets = h[order], buckets[order]
                 cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
@@ -202,13 +236,16 @@ def intervals(starts: np.ndarray, size: int) -> list[tuple[int, int]]:
 def _cut(size: int, bits: int, hot, hot_first):
     """Per document its words, what goes, and the text that stays."""
 
-    def gone(doc_id, text, marks) -> tuple[list[bytes], list[tuple[int, int]]]:
+    def gone(doc_id, text, marks, later) -> tuple[list[bytes], list[tuple[int, int]]]:
         ws = text_words(text)
         h = window_hashes(word_hashes(ws), size)
-        is_hot, places = _hot_lookup(h, hot.value)
+        is_hot = hot.value.which(h)
         own = _NONE if doc_id is None else doc_id
         bad = np.zeros(len(h), bool)
-        bad[is_hot] = hot_first.value[places[is_hot]] < own
+        if hot.value.bits is None:
+            bad[is_hot] = hot_first.value[hot.value.places(h[is_hot])] < own
+        elif later:
+            bad = np.isin(h, np.array(later, np.int64).view(np.uint64))
         if marks:
             cold = np.flatnonzero(~is_hot)
             buckets, order = _bucket_order(h[cold], bits)
@@ -222,8 +259,9 @@ def _cut(size: int, bits: int, hot, hot_first):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                ws, spans = gone(doc_id, text, marks)
+            for row in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "marks", "later"))):
+                doc_id = row[0]
+                ws, spans = gone(*row)
                 n = len(ws)
                 for a, b in reversed(spans):
                     del ws[a:b]
@@ -237,9 +275,20 @@ def _cut(size: int, bits: int, hot, hot_first):
     return run
 
 
+def _filter(common: DataFrame) -> np.ndarray:
+    """64 bits a number: a bit for each window's leading bits, set for common ones."""
+    place = F.shiftrightunsigned("h", 64 - (FILTER_BITS.bit_length() - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    parts = common.groupBy(F.shiftright(place, 6).alias("part")).agg(F.bit_or(bit).alias("bits"))
+    found = parts.toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[found["part"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
 def remove_passages(
     docs: DataFrame, size: int = WINDOW, bucket_windows: int = BUCKET_WINDOWS,
-    hot_windows: int = HOT_WINDOWS,
+    hot_windows: int = HOT_WINDOWS, hot_most: int = HOT_MOST,
 ) -> DataFrame:
     """doc_id, n_words, n_removed, ``kept`` text and removed ``spans`` of words."""
     spark = docs.sparkSession
@@ -252,7 +301,7 @@ def remove_passages(
     )
     total = docs.select(F.size(words(F.col("text"))).alias("n")).agg(F.sum("n")).first()[0] or 0
     bits = max(LEAST_BITS, (total // bucket_windows).bit_length() - 1)
-    known, first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found, n_common = None, 0
     if total >= hot_windows:
         sample = docs.where(F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SAMPLE)) == 0)
         counts, seen = ws.stage(
@@ -260,33 +309,58 @@ def remove_passages(
             .groupBy("h").agg(F.sum("n").alias("n")),
             n=F.sum("n"),
         )
-        limit = max(2, (seen["n"] or 0) // HOT_SHARE)
-        known = np.array([r.h for r in counts.where(F.col("n") > limit).select("h").collect()], np.int64)
-        known = np.sort(known.view(np.uint64))
+        # So many copies in the sample stand for a quarter of a bucket.
+        limit = max(2, min((seen["n"] or 0) // HOT_SHARE, bucket_windows // (4 * SAMPLE)))
+        found = counts.where(F.col("n") > limit).select("h")
+        n_common = found.count()
     sc = spark.sparkContext
-    hot = sc.broadcast(known)
-    if len(known):
-        rows = (
-            docs.select("doc_id", "text")
-            .mapInArrow(_firsts(size, hot), "h bigint, first bigint")
-            .groupBy("h").agg(F.min("first").alias("first")).collect()
+    first = np.zeros(0, np.int64)
+    later = None
+    if n_common > hot_most:
+        hot = sc.broadcast(Hot(np.zeros(0, np.uint64), _filter(found)))
+        common, _ = ws.stage(docs.mapInArrow(_hot_rows(size, hot), "h bigint, doc_id bigint, digest bigint"))
+        firsts, _ = ws.stage(common.groupBy("h").agg(F.min("doc_id").alias("first")))
+        # Written tables: in their join Spark can split the rows of a window.
+        late = F.col("first") < F.coalesce("doc_id", F.lit(int(_NONE)))
+        later = (
+            common.join(firsts, "h").where(late).groupBy("doc_id", "digest")
+            .agg(F.collect_set("h").alias("later"))
         )
-        ids = {r.h: r.first for r in rows}
-        first = np.array([ids.get(h, _NONE) for h in known.view(np.int64).tolist()], np.int64)
+    else:
+        known = np.zeros(0, np.uint64)
+        if n_common:
+            known = np.sort(found.toArrow()["h"].to_numpy().view(np.uint64))
+        hot = sc.broadcast(Hot(known))
+        if n_common:
+            rows = (
+                docs.select("doc_id", "text")
+                .mapInArrow(_firsts(size, hot), "h bigint, first bigint")
+                .groupBy("h").agg(F.min("first").alias("first")).toArrow()
+            )
+            first = np.full(len(known), _NONE, np.int64)
+            first[np.searchsorted(known, rows["h"].to_numpy().view(np.uint64))] = rows["first"].to_numpy()
     hot_first = sc.broadcast(first)
     dealt = docs.mapInArrow(
         _dealt(size, bits, hot), "bucket bigint, doc_id bigint, digest bigint, hashes binary"
     )
+    # No task gets more than two buckets, however many there are.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << max(0, bits - 1))
     marks = (
-        dealt.repartition("bucket")
+        dealt.repartition(tasks, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_marked, "bucket bigint, doc_id bigint, digest bigint, marks binary")
     )
+    key = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
     returned = marks.groupBy("doc_id", "digest").agg(
         F.collect_list(F.struct("bucket", "marks")).alias("marks")
-    ).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "marks")
+    ).select(*key, "marks")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    return docs.join(returned, same, "left").select("doc_id", "text", "marks").mapInArrow(
+    rows = docs.join(returned, same, "left").drop("_id", "_digest")
+    if later is None:
+        rows = rows.withColumn("later", F.lit(None).cast("array<bigint>"))
+    else:
+        rows = rows.join(later.select(*key, "later"), same, "left")
+    return rows.select("doc_id", "text", "marks", "later").mapInArrow(
         _cut(size, bits, hot, hot_first),
         "doc_id bigint, n_words bigint, n_removed bigint, kept string, spans array<array<bigint>>",
     )
