@@ -9,8 +9,10 @@ Sizes are numbers of words, none for a null text.  Sources in the order of their
 code points, null last, weigh 5, 2, 1, 5, ...; together they get ``share`` times all
 words.  No source gets more than ``most`` times its own words; what is above goes to
 the others by weight, until none is above.  A source without words gets nothing.
-Rows that agree in doc_id and size are taken in either order, so the result is the
-same; rows without an id are ordered by their text.
+Keys are of id and text, so rows without an id, or of one id, are ordered by their text, and
+only rows equal in both have one key; they are taken in either order, so the result is the
+same.  An empty table has no source and gives no row.  ``mix`` returns columns of its own,
+``mixed_documents`` those of the documents, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bitacora.llm.text import given, packed, unpacked, words
+from bitacora.llm.text import packed, row_digest, unpacked, words
 from bitacora.operators.numbering import number_rows
 from bitacora.storage import Workspace
 
@@ -34,7 +36,8 @@ _KEY_BITS = 60
 
 
 def mix_key(doc_id: Column, text: Column) -> Column:
-    return F.md5(F.coalesce(doc_id.cast("string"), text, F.lit("")))
+    """The same for rows that agree in id and text only: many texts of one id are dealt alike."""
+    return row_digest(doc_id, text)
 
 
 def budgets(sizes: DataFrame, ws: Workspace, weights=WEIGHTS, share=SHARE, most=MOST) -> DataFrame:

@@ -16,7 +16,8 @@ Kinds, in this order:
 * ``address``: a house number and a name, then a word for a street.
 
 Places count code points, the end is exclusive.  A null text is empty.  Each row is
-judged alone, so repeated rows get the same result.
+judged alone, so repeated rows get the same result.  An empty table gives no row; columns of
+any name pass in ``row``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from bitacora.llm.text import packed
+from bitacora.llm.text import packed, text_function
 
 KINDS = ("email", "ip", "card", "phone", "url", "account", "address")
 
@@ -51,7 +52,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _LOGIN = re.compile(r"[^\s/@:<>\"]+(?::[^\s/@<>\"]*)?@[A-Za-z0-9.-]+[^\s<>\"']*")
-_VALUE = re.compile(r"(?:[ _-]?(?:number|no\.?|nr\.?|id|key|code))?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5})", re.I)
+_VALUE = re.compile(r"(?:[ _-]?(?:number|no\.?|nr\.?|id|key|code))?[ \t]*+(?:[:=#][ \t]*+)?[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5})", re.I)
 # What a value goes on with.
 _VALUE_RUN = re.compile(r"[A-Za-z0-9_-]*", re.I)
 _HOUSE = re.compile(r"(?<!\w)[0-9]{1,5}[A-Za-z]?(?: [A-Z][\w'.-]{0,30}){1,4} ?$")
@@ -197,20 +198,21 @@ SPAN = T.StructType(
 def find_private(docs: DataFrame, mask: bool = False) -> DataFrame:
     """``row`` with the document, its ``spans``, and its ``masked`` text if asked for."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         anchors = automaton()
         kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            found = [spans(t, anchors) for t in texts]
-            rows = [[{"kind": k, "start": a, "end": b} for a, k, b in f] for f in found]
-            columns = [batch["row"], pa.array(rows, pa.list_(kind))]
-            if mask:
-                columns.append(pa.array([masked(*x) for x in zip(texts, found)], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, ["row", "spans", "masked"][: len(columns)])
-
-    df = packed(docs, text=docs["text"])
-    schema = T.StructType([df.schema["row"], T.StructField("spans", T.ArrayType(SPAN))])
+            rows, texts = [], []
+            for text in (t.as_py() for t in batch):
+                found = spans(text, anchors)
+                rows.append([{"kind": k, "start": a, "end": b} for a, k, b in found])
+                if mask:
+                    texts.append(masked(text, found))
+            columns = [pa.array(rows, pa.list_(kind)), *([pa.array(texts, pa.string())] if mask else [])]
+            yield pa.StructArray.from_arrays(columns, ["spans", "masked"][: len(columns)])
+
+    schema = T.StructType([T.StructField("spans", T.ArrayType(SPAN))])
     if mask:
         schema = schema.add("masked", T.StringType())
-    return df.mapInArrow(run, schema)
+    df = packed(docs, text=docs["text"])
+    return df.select("row", text_function(run, schema)("text").alias("found")).select("row", "found.*")

@@ -86,6 +86,7 @@ def _op5_private_data(spark, sf_dir):
         *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
         F.sha2(joined(of(*base)), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 
@@ -190,7 +191,7 @@ _WORDS = rf"regexp_extract_all({_TEXT}, '[^\x20\x09-\x0D]+')"
 
 _OP1 = f"""
 WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size,
-    md5(coalesce(doc_id::VARCHAR, text, '')) AS key FROM documents),
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || md5({_TEXT})) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1]::DOUBLE
     AS weight, (2 * source_size)::DOUBLE AS most FROM s),
@@ -298,7 +299,7 @@ SELECT doc_id, CASE WHEN t = '' THEN 0 ELSE len(ls) END::BIGINT AS n_lines, n_re
 
 _OP10 = f"""
 WITH d AS (SELECT doc_id, strlen({_TEXT})::BIGINT AS bytes,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT AS bits FROM documents),
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5({_TEXT})), 1, 15))::BIGINT AS bits FROM documents),
 p AS (SELECT depth, bits >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes,
     min(bits) = max(bits) AS single FROM d, range(61) AS r(depth) GROUP BY ALL),
 s AS (SELECT d.doc_id, d.bytes, d.bits, min(depth) AS depth FROM d JOIN p ON p.prefix = d.bits >> (60 - p.depth)

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bitacora.llm.text import given, packed, unpacked
+from bitacora.llm.text import given, packed, row_digest, unpacked
 from bitacora.storage import Workspace
 
 # Bits of a hash, and how many of them a round of splitting looks at.
@@ -26,9 +26,8 @@ LIMIT = 16 << 20
 
 
 def hash_bits(doc_id: Column, text: Column) -> Column:
-    """60 bits of the md5 of the id, or of the text where there is no id."""
-    key = F.md5(F.coalesce(doc_id.cast("string"), text, F.lit("")))
-    return F.conv(F.substring(key, 1, BITS // 4), 16, 10).cast("bigint")
+    """60 bits of a digest of id and text, so texts under one id are told apart."""
+    return F.conv(F.substring(row_digest(doc_id, text), 1, BITS // 4), 16, 10).cast("bigint")
 
 
 def _prefix(bits: Column, depth: Column | int) -> Column:
