@@ -7,7 +7,8 @@ one goes, once however many windows cover it.
 
 Null ids come after all others.  A null text has no lines.  A document with fewer
 than three such lines has no window and stays whole.  Rows that agree in doc_id and
-text are one document given several times: each gets the same result.
+text are one document given several times: each gets the same result.  An empty table
+gives no row; columns of any name pass in ``row``.
 """
 
 from __future__ import annotations

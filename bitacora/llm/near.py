@@ -23,7 +23,10 @@ How links are found:
    no check as they change nothing.
 
 Every row is a node of its own, also where rows share a doc_id.  Rows without an id
-are linked like others; a group of such rows only has no component id.
+are linked like others; a group of such rows only has no component id.  Null and empty texts
+are linked with nothing, an empty table gives no row.  Only id and text are looked at:
+``near_duplicates`` returns columns of its own, ``representatives`` those of its input,
+whatever their names.
 """
 
 from __future__ import annotations

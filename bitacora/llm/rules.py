@@ -6,7 +6,7 @@ one failure bit per rule, so that policies (named sets of rules) and ablations
 
 Null, empty and blank texts have no words and fail the rule of the fewest words.
 Each row is judged alone, so repeated rows get the same result; the input's
-columns are kept as they are in ``row``.
+columns are kept as they are in ``row``.  An empty table gives no row.
 """
 
 from __future__ import annotations

@@ -264,7 +264,7 @@ def test_shards(docs, rows, none, limit):
     size, members = Counter(), {}
     for r in found:
         size[r.shard] += r.bytes
-        members.setdefault(r.shard, set()).add((r.row.doc_id, r.row.text if r.row.doc_id is None else None))
+        members.setdefault(r.shard, set()).add((r.row.doc_id, r.row.text))
         assert r.bytes == len((r.row.text or "").encode()) and r.depth == len(r.shard)
     names = sorted(size)
     for r in found:
