@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -30,6 +33,22 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_made: ContextVar[list[Workspace] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Workspaces made inside are removed in the end, whether it succeeds or fails."""
+    made: list[Workspace] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for ws in made:
+            ws.remove()
+
+
 class Workspace:
     """A folder of its own for the tables of one job."""
 
@@ -37,6 +56,8 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_folder(spark).rstrip('/')}/bitacora-{uuid.uuid4().hex}"
         self._tables = 0
+        if (made := _made.get()) is not None:
+            made.append(self)
 
     def stage(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
         """Write ``df`` and read it back; ``measures`` are taken on the way."""
