@@ -2,7 +2,15 @@
 
 Each stage takes the documents that the one before kept and returns a frame with
 the columns of ``documents``; the last adds the shard.  Stages are written as
-Parquet to the shared folder and read back, so a lost executor costs one stage.
+Parquet to the shared folder and read back, so a lost executor costs one stage.  ``run``
+removes what a stage staged inside as soon as its output is written, and that output
+when the next one is.
+
+In every stage columns of any name pass as they are, and an empty table stays empty.  Texts
+that are null or have no letter have no language and go with the first stage, where null
+ids and repeated rows pass; of rows equal in id and text the second keeps one, as of other
+copies; the third judges each row alone; the fourth keeps null sources as one source; the
+last gives a shard to every row.
 """
 
 from __future__ import annotations
@@ -12,10 +20,9 @@ from pyspark.sql import functions as F
 
 from bitacora.llm import contamination, language, mixing, near, shards
 from bitacora.llm.text import unpacked
-from bitacora.storage import Workspace
+from bitacora.storage import Workspace, temporary
 
-
-# Words of a shingle, as nothing asks for another number.
+# Stages on word shingles take five words; only the query op4 has four, by its own contract.
 SHINGLE = 5
 # Of 0 to 1; a text scores below when no language stands out.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -72,7 +79,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    ws = Workspace(spark)
+    before = None
     for _, stage in STAGES:
-        docs, _ = ws.stage(stage(spark, docs, sf_dir))
+        written = Workspace(spark)
+        with temporary():
+            docs, _ = written.stage(stage(spark, docs, sf_dir))
+        if before:
+            before.remove()
+        before = written
     return docs
