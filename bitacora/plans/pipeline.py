@@ -18,6 +18,7 @@ from bitacora.operators.separation import (
     without_group_columns,
 )
 from bitacora.plans.report import process_rows
+from bitacora.plans.resume import KeptStages
 from bitacora.sources.dictionaries import Precincts
 from bitacora.sources.reports import ORDER, read_report
 from bitacora.sources.sinks import write_csv
@@ -57,6 +58,7 @@ def analyze(
     ws: Workspace | None = None,
     hot_rows: int = HOT_ROWS,
     keep_groups: bool = True,
+    kept: KeptStages | None = None,
 ) -> Result:
     """Report, graph and separation of raw incident rows.
 
@@ -64,13 +66,14 @@ def analyze(
     narrow columns of it and the join back reads the rest, and the row order is
     fixed by then.  Without ``order``, or where a plain frame has none, groups are
     numbered by folio.  ``keep_groups=False`` spares writing the groups, for callers
-    that read them with the rows only.
+    that read them with the rows only.  ``kept`` holds a report that was finished before,
+    or gets it.
     """
     ws = ws or Workspace(df.sparkSession)
     order = None if order == ORDER and ORDER not in df.columns else order
     kind = F.col("`Tipo de Incidente`")
     counted = check_columns(df).withColumn("_excluded", is_excluded(kind))
-    report, seen = _stage_report(counted, order, precincts, phrases, ws)
+    report, seen = kept and kept.find("report") or _stage_report(counted, order, precincts, phrases, kept or ws)
     groups = component_table(report, order, ws, hot_rows, edges=graph_edges(report))
     if keep_groups:
         groups, _ = ws.stage(groups)
@@ -87,9 +90,12 @@ def _stage_report(counted, order, precincts, phrases, ws):
         F.count_if("_excluded").alias("discarded"),
     )
     keep = (order,) if order else ()
-    report, kept = ws.stage(
-        process_rows(counted, precincts, phrases, keep), kept=F.count(F.lit(1))
-    )
+    rows, count = process_rows(counted, precincts, phrases, keep), F.count(F.lit(1))
+    if isinstance(ws, KeptStages):
+        report, kept = ws.stage("report", rows, kept=count)
+        ws.finish("report", report, {**read.get, **kept})
+    else:
+        report, kept = ws.stage(rows, kept=count)
     return report, {**read.get, **kept}
 
 
@@ -129,6 +135,7 @@ def run(
     phrases: dict[str, list[str]] | DataFrame | None = PHRASES,
     keep_order: bool = False,
     single_file: bool = False,
+    resume_path: str | None = None,
     **read_options,
 ) -> dict[str, int]:
     """CSV report in, clean CSV report out; returns the row counts of the stages.
@@ -137,12 +144,21 @@ def run(
     files get the cancelled rows and the clean rows without them, and the
     component table.  All files start with a byte-order mark.  ``keep_order``
     writes the rows in input order, for one more shuffle.
+
+    ``resume_path`` is a folder that outlives the job.  There the processed report, which
+    takes most of the time, is kept until all files are written: the same job over the same
+    files, started again, goes on from it.
     """
     ws = Workspace(spark)
+    kept = None
+    if resume_path:
+        told = precincts if isinstance(precincts, str) or precincts is None else precincts.frame
+        options = {"precincts": told, "phrases": phrases, **read_options}
+        kept = KeptStages(spark, resume_path, input_path, options)
     try:
         raw = read_report(spark, input_path, **read_options)
         result = analyze(
-            raw, ORDER, precincts, phrases, ws, keep_groups=bool(relations_path)
+            raw, ORDER, precincts, phrases, ws, keep_groups=bool(relations_path), kept=kept
         )
         flag = F.col(APART)
         measures = {"cancelled_isolated": F.count_if(flag), "clean": F.count_if(~flag)}
@@ -166,6 +182,9 @@ def run(
         write(without_group_columns(done.clean), clean_path)
         if relations_path:
             write_csv(done.groups, relations_path, bom=True, single_file=single_file)
-        return {**result.counts, **(counts or seen.get)}
+        counts = {**result.counts, **(counts or seen.get)}
+        if kept:
+            kept.remove()
+        return counts
     finally:
         ws.remove()

@@ -33,6 +33,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def stage_at(df: DataFrame, path: str, mode: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` to a path and read it back; ``measures`` are taken on the way."""
+    spark, seen = df.sparkSession, {}
+    if measures:
+        observation = Observation()
+        df = df.observe(observation, *[m.alias(name) for name, m in measures.items()])
+        df.write.mode(mode).parquet(path)
+        seen = observation.get
+    else:
+        df.write.mode(mode).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen
+
+
 _made: ContextVar[list[Workspace] | None] = ContextVar("made", default=None)
 
 
@@ -62,16 +75,7 @@ class Workspace:
     def stage(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
         """Write ``df`` and read it back; ``measures`` are taken on the way."""
         self._tables += 1
-        path = f"{self.path}/{self._tables:04d}"
-        seen: dict = {}
-        if measures:
-            observation = Observation()
-            df = df.observe(observation, *[m.alias(name) for name, m in measures.items()])
-            df.write.parquet(path)
-            seen = observation.get
-        else:
-            df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), seen
+        return stage_at(df, f"{self.path}/{self._tables:04d}", "error", **measures)
 
     def remove(self) -> None:
         """Delete the folder.  Frames that read its tables stop working."""
