@@ -2,9 +2,9 @@
 
 A text is a row of runs, of word characters and of others in turn, and a phrase between
 word edges covers whole runs.  So phrases are found by equality of runs: a table of them is
-keyed by what they begin with, the starts of all runs of a text meet it in a join, and only
-what the join brings is compared in full.  The cost of a text depends on how many phrases
-begin like something in it, not on how many there are.
+keyed by the run of each that is rarest in the table, the runs of a text meet it in a join,
+and only what the join brings is compared in full.  The cost of a text depends on how many
+phrases have such a run of it, not on how many there are.
 
 What was found goes back to the rows by the hash of their text, so equal texts are one;
 rows compare it with their own runs again, and a hash that two texts share does no harm.
@@ -25,11 +25,9 @@ from bitacora.functions.dialect import (
     WORD,
     WORD_SET,
 )
+from bitacora.operators.lookup import HOT_ROWS, frequent_keys
 from bitacora.storage import Workspace
 
-# Runs at the start of a phrase that are its key, if it has so many.
-KEY_RUNS = 3
-
 # Texts and phrases found in them, about 200 bytes each, that are broadcast together.
 BROADCAST_ENTRIES = 100_000
 
@@ -55,6 +53,17 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _without_idle(places: DataFrame, table: DataFrame) -> DataFrame:
+    """``places`` without those under frequent keys that the ``table`` does not have.
+
+    Texts share words that are in no phrase, and all places of such a word would meet in one
+    task of the join.  They are counted before they are moved; no more than one key in
+    HOT_ROWS places is frequent.
+    """
+    idle = frequent_keys(places, "key", HOT_ROWS).join(table, "key", "left_anti")
+    return places.join(F.broadcast(idle), "key", "left_anti")
+
+
 def _looked_up(df: DataFrame, text: str, found: DataFrame) -> DataFrame:
     """Every row of ``df`` as ``row``, its ``text`` and the ``entries`` found for it by hash ``h``."""
     rows = df.select(
@@ -79,6 +88,19 @@ def _with_value(rows: DataFrame, columns: list[str], name: str, value: Column) -
     )
 
 
+def _rarest_run(table: DataFrame) -> DataFrame:
+    """(phrase, key, offset): the run of each phrase that fewest of the phrases have, and where.
+
+    It is a word if the phrase has one.
+    """
+    by_run = table.select("phrase", F.posexplode("runs").alias("offset", "key"))
+    usual = by_run.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # Blanks are everywhere in a text, however few of the phrases have any.
+    place = F.struct(~is_word_run(F.col("key")), "n", -F.length("key"), "key", "offset")
+    least = F.min(place).alias("least")
+    return by_run.join(usual, "key").groupBy("phrase").agg(least).select("phrase", "least.key", "least.offset")
+
+
 def replace_from_table(df: DataFrame, text: str, phrases: DataFrame, result: str) -> DataFrame:
     """Replaces every phrase of a table (phrase, new) in one pass from left to right.
 
@@ -89,22 +111,21 @@ def replace_from_table(df: DataFrame, text: str, phrases: DataFrame, result: str
     table = phrases.where("phrase <> ''").select(
         F.lower("phrase").alias("phrase"), "new", runs(folded(F.col("phrase"))).alias("runs")
     )
-    table = table.withColumn("key", F.array_join(F.slice("runs", 1, KEY_RUNS), ""))
+    table = table.join(_rarest_run(table), "phrase")
     own = _texts(df, text).select(
         _text_hash(F.col("text")).alias("h"), runs(folded(F.col("text"))).alias("low")
     )
-    starts = F.transform(
-        "low",
-        lambda _, i: F.struct(
-            i.alias("i"),
-            F.array(*[F.array_join(F.slice("low", i + 1, k), "") for k in range(1, KEY_RUNS + 1)]).alias("keys"),
-        ),
+    places = own.select("h", F.posexplode("low").alias("k", "key"))
+    entry = F.struct(
+        (F.col("k") - F.col("offset")).alias("i"), (-F.size("runs")).alias("less"), "runs", "phrase", "new"
     )
-    places = own.select("h", F.explode(starts).alias("at")).select(
-        "h", F.col("at.i").alias("i"), F.explode(F.array_distinct("at.keys")).alias("key")
+    found = (
+        _without_idle(places, table)
+        .join(table, "key")
+        .where("k >= offset")
+        .groupBy("h")
+        .agg(F.collect_set(entry).alias("entries"))
     )
-    entry = F.struct("i", (-F.size("runs")).alias("less"), "runs", "phrase", "new")
-    found = places.join(table, "key").groupBy("h").agg(F.collect_set(entry).alias("entries"))
     rows = _looked_up(df, text, found)
     rows = rows.withColumn("runs", F.when(F.col("entries").isNotNull(), runs(F.col("text"))))
     n = F.size("runs")
@@ -163,23 +184,49 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0)))
 
 
+def _rarest_word(table: DataFrame) -> DataFrame:
+    """(phrase, key): the word of each phrase that fewest of the phrases have."""
+    by_word = table.select("phrase", F.explode("words").alias("word"))
+    usual = by_word.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct("n", "word")).getField("word")
+    return by_word.join(usual, "word").groupBy("phrase").agg(least.alias("key"))
+
+
+def _steps_by_word(table: DataFrame, ws: Workspace) -> DataFrame:
+    """(key, step): all steps that may change a text in which the word ``key`` stands.
+
+    Those are the phrases that have it as their key, and those whose key one of these puts
+    in, as long as they come later in the order.  Steps under an empty key may change any text.
+    """
+    own, seen = ws.stage(
+        table.join(_rarest_word(table), "phrase", "left").select(
+            F.coalesce("key", F.lit("")).alias("key"), "step", _words(F.col("new")).alias("puts")
+        ),
+        n=F.count(F.lit(1)),
+    )
+    later = own.select(F.col("key").alias("word"), F.col("step").alias("then"), F.col("puts").alias("then_puts"))
+    last, reached = own, own.select("key", "step")
+    while seen["n"]:
+        put_in = last.select("key", "step", F.explode("puts").alias("word"))
+        last, seen = ws.stage(
+            put_in.join(later, "word")
+            .where(F.col("step") < F.col("then"))
+            .select("key", F.col("then").alias("step"), F.col("then_puts").alias("puts"))
+            .distinct()
+            .join(reached, ["key", "step"], "left_anti"),
+            n=F.count(F.lit(1)),
+        )
+        reached = reached.union(last.select("key", "step"))
+    return reached
+
+
 def replace_each_from_table(df: DataFrame, text: str, phrases: DataFrame) -> DataFrame:
     """Replaces the phrases of a table (phrase, new) in turn, longest first, then by ``at``.
 
     As a fold over all of them does, but a row only tries those whose rarest word it has.  What
-    is put in may be part of a match too, so a word that some ``new`` has is no key; a phrase
-    without any other word is tried in every row.
+    is put in may be part of a match too, so a phrase also comes with those that may put in
+    its rarest word.  A phrase without a word is tried in every row.
     """
-    table = phrases.select("phrase", "new", "at").withColumn("words", _words(F.col("phrase")))
-    put_in = table.select(F.explode(_words(F.col("new"))).alias("word")).distinct()
-    by_word = table.select("at", F.explode("words").alias("word"))
-    usual = by_word.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    keys = (
-        by_word.join(put_in, "word", "left_anti")
-        .join(usual, "word")
-        .groupBy("at")
-        .agg(F.min(F.struct("n", "word")).getField("word").alias("_key"))
-    )
     step = F.struct(
         (-F.length("phrase")).alias("less"),
         "at",
@@ -187,22 +234,26 @@ def replace_each_from_table(df: DataFrame, text: str, phrases: DataFrame) -> Dat
         whole_phrase_pattern(F.col("phrase")).alias("pattern"),
         F.regexp_replace("new", r"([\\$])", r"\\$1").alias("new"),
     )
-    keyed = table.join(keys, "at", "left").select(F.col("_key").alias("key"), step.alias("step"))
+    # A null phrase is found nowhere.
+    table = phrases.where("phrase IS NOT NULL").select(
+        "phrase", "new", _words(F.col("phrase")).alias("words"), step.alias("step")
+    )
+    keyed = _steps_by_word(table, Workspace(df.sparkSession))
     # Phrases that any row may come to hold are few; they become part of the plan.
-    always = [r["step"] for r in keyed.where("key IS NULL").select("step").collect()]
+    always = [r["step"] for r in keyed.where("key = ''").select("step").distinct().collect()]
+    words = _texts(df, text).select(
+        _text_hash(F.col("text")).alias("h"), F.explode(_words(F.col("text"))).alias("key")
+    )
+    keyed = keyed.where("key <> ''")
     found = (
-        _texts(df, text)
-        .select(_text_hash(F.col("text")).alias("h"), F.explode(_words(F.col("text"))).alias("key"))
-        .join(keyed.where("key IS NOT NULL"), "key")
-        .groupBy("h")
-        .agg(F.collect_set("step").alias("entries"))
+        _without_idle(words, keyed).join(keyed, "key").groupBy("h").agg(F.collect_set("step").alias("entries"))
     )
     kind = found.schema["entries"].dataType
     rows = _looked_up(df, text, found)
     steps = F.coalesce("entries", F.array().cast(kind))
     if always:
         fixed = [F.struct(*[F.lit(v).alias(k) for k, v in s.asDict().items()]) for s in always]
-        steps = F.concat(steps, F.array(*fixed).cast(kind))
+        steps = F.array_distinct(F.concat(steps, F.array(*fixed).cast(kind)))
 
     def change(done: Column, s: Column) -> Column:
         return F.when(done.contains(s["phrase"]), F.regexp_replace(done, s["pattern"], s["new"])).otherwise(done)
