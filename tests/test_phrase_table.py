@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bitacora import collapse_phrases, extract_notes, load_phrase_table, load_phrases, remove_phrases
+from bitacora.functions import phrase_table
 from bitacora.functions import phrases as by_pattern
 from bitacora.functions.dialect import whole_phrase
 from bitacora.functions.phrase_table import replace_from_table, whole_phrase_pattern
@@ -136,3 +137,37 @@ def test_time_does_not_grow_with_the_phrases(spark):
     assert took(2000, removed) < 10
     assert took(20_000, removed) < 20
     df.unpersist()
+
+
+def test_a_word_of_all_texts_brings_no_phrase_of_another(spark, monkeypatch):
+    """Tokens are keys of later phrases too: "ya" is in all texts and in half of the phrases."""
+    looked_up, most = phrase_table._looked_up, []
+
+    def counted(df, text, found):
+        most.append(found.agg(F.max(F.size("entries"))).first()[0])
+        return looked_up(df, text, found)
+
+    monkeypatch.setattr(phrase_table, "_looked_up", counted)
+    rows = [(f"Cliente#{i:03d}", f"<<C_{i}>>", 2 * i) for i in range(60)]
+    rows += [(f"C_{i}>>  ya", "OK", 2 * i + 1) for i in range(60)]
+    table = spark.createDataFrame(rows, "phrase string, token string, at bigint")
+    df = frame(spark, [f"pide Cliente#{i:03d} ya, fin" for i in range(60)])
+    assert set(column(collapse_phrases(df, "t", table), "t")) == {"pide << OK , fin"}
+    assert most == [2]
+
+
+def test_frequent_words_of_no_phrase_are_not_moved(spark, monkeypatch):
+    without_idle, keys = phrase_table._without_idle, []
+
+    def seen(places, table):
+        left = without_idle(places, table)
+        keys.extend(r["key"] for r in left.select("key").distinct().collect())
+        return left
+
+    monkeypatch.setattr(phrase_table, "_without_idle", seen)
+    monkeypatch.setattr(phrase_table, "HOT_ROWS", 50)
+    table = spark.createDataFrame([(f"c#{i:03d}", f"<{i}>") for i in range(100)], "phrase string, new string")
+    df = frame(spark, [f"pide C#{i:03d}, urgente" for i in range(100)])
+    got = column(replace_phrases(df, "t", table, "r"), "r")
+    assert got == [f"pide <{i}>, urgente" for i in range(100)]
+    assert "007" in keys and not {"pide", "urgente", " "} & set(keys)
