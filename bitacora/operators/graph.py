@@ -51,26 +51,39 @@ def _renamed(name: Column) -> Column:
     return F.xxhash64(name)
 
 
+def _is_plain(folio: Column) -> Column:
+    """Whether the folio is a positive number as numbers are written, below 10^18."""
+    return folio.rlike(r"^[1-9][0-9]{0,17}\z")
+
+
 def _numbered_ends(
-    edges: DataFrame, count: int, ws: Workspace, hot_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Edges between integers, and the folio that each integer (``id``) stands for.
+    edges: DataFrame, odd: int, ws: Workspace, hot_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Edges between integers, and the folios that negative integers (``id``) stand for.
 
-    Folios are any text; every one on an edge gets a number, so that all graphs
-    are contracted in the same way.
+    Folios are any text.  A plain number is its own integer; only other folios, on ``odd`` of
+    the edges, are numbered and looked up.
     """
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("folio")).distinct()
-    numbers = number_rows(ends, "folio", "id", ws)
-    limit = hot_limit(count, hot_rows)
-    found = edges
-    for end in ("src", "dst"):
+    ends = ("src", "dst")
+    own = [F.col(end).try_cast("bigint").alias(f"{end}_id") for end in ends]
+    if not odd:
+        return edges.select(*own), None
+    both = _is_plain(F.col("src")) & _is_plain(F.col("dst"))
+    others = edges.select(F.explode(F.array(*ends)).alias("folio")).where(~_is_plain(F.col("folio")))
+    numbers = number_rows(others.distinct(), "folio", "_number", ws).select(
+        "folio", (-F.col("_number")).cast("bigint").alias("id")
+    )
+    limit = hot_limit(odd, hot_rows)
+    rest = found = edges.where(~both)
+    for end in ends:
         table = numbers.select(F.col("folio").alias(end), F.col("id").alias(f"{end}_id"))
         hot = None
-        if count >= limit:
-            keys = frequent_keys(edges, end, limit)
+        if odd >= limit:
+            keys = frequent_keys(rest, end, limit)
             hot = table.join(F.broadcast(keys), end, "left_semi")
         found = keyed_lookup(found, table, end, spread_by=F.struct("src", "dst"), hot=hot)
-    return found.select("src_id", "dst_id"), numbers
+    looked_up = [F.coalesce(f"{end}_id", F.col(end).try_cast("bigint")).alias(f"{end}_id") for end in ends]
+    return edges.where(both).select(*own).union(found.select(*looked_up)), numbers
 
 
 def connected_components(
@@ -89,31 +102,40 @@ def connected_components(
     ``edges`` holds (src, dst) of distinct strings; labels are integers.
     """
     ws = ws or Workspace(edges.sparkSession)
-    given, seen = ws.stage(edges.select("src", "dst"), edges=F.count(F.lit(1)))
+    odd = ~(_is_plain(F.col("src")) & _is_plain(F.col("dst")))
+    given, seen = ws.stage(
+        edges.select("src", "dst"), edges=F.count(F.lit(1)), odd=F.count_if(odd)
+    )
     count = figures_edges = seen["edges"]
     if not count:
         empty = edges.sparkSession.createDataFrame([], "folio string, label bigint")
         return empty, {"edges": 0, "rounds": 0}
-    ids, numbers = _numbered_ends(given, count, ws, hot_rows)
+    ids, numbers = _numbered_ends(given, seen["odd"], ws, hot_rows)
     current = ids.select(
-        _renamed(F.col("src_id")).alias("a"), _renamed(F.col("dst_id")).alias("b")
+        _renamed(F.col("src_id")).alias("a"), _renamed(F.col("dst_id")).alias("b"), "src_id", "dst_id"
     )
     merges: list[tuple[DataFrame, int]] = []
     while count:
         limit = hot_limit(2 * count, hot_rows)
+        # The first merges keep the integers, which can't be told from the names.
+        ids = ("a", "b") if merges else ("src_id", "dst_id")
         merge = (
-            current.selectExpr("stack(2, a, b, b, a) as (name, other)")
+            current.selectExpr("stack(2, a, b, {}, b, a, {}) as (name, other, id)".format(*ids))
             .groupBy("name")
-            .agg(F.min("other").alias("_least"), F.count(F.lit(1)).alias("degree"))
-            .select("name", F.least("name", "_least").alias("into"), "degree")
+            .agg(
+                F.min("other").alias("_least"),
+                F.count(F.lit(1)).alias("degree"),
+                F.min("id").alias("id"),
+            )
+            .select("name", F.least("name", "_least").alias("into"), "degree", "id")
         )
         is_hot = False
         if 2 * count >= limit:
             # Large enough for a hot vertex: look, and keep what was computed.
             merge, seen = ws.stage(merge, degree=F.max("degree"))
             is_hot = seen["degree"] >= limit
-        merges.append((merge.select("name", "into"), 2 * count))
-        moved = current
+        merges.append((merge.select("name", "into", "id"), 2 * count))
+        moved = current.select("a", "b")
         for end in ("a", "b"):
             table = merge.select(
                 F.col("name").alias(end), F.col("into").alias(f"{end}_into"), "degree"
@@ -140,11 +162,11 @@ def connected_components(
     # not occur in the later rounds; renaming it up to the last one keeps its
     # label apart from every other.
     last = len(merges) - 1
-    labels = merges[last][0].select("name", F.col("into").alias("label"))
+    labels = merges[last][0].select("name", F.col("into").alias("label"), "id")
     for at in range(last - 1, -1, -1):
         merge, rows = merges[at]
         step = merge.select(
-            F.col("name").alias("_from"), _renamed(F.col("into")).alias("name")
+            F.col("name").alias("_from"), _renamed(F.col("into")).alias("name"), F.col("id").alias("_id")
         )
         complete = F.col("name")
         for _ in range(at + 2, last + 1):
@@ -154,11 +176,13 @@ def connected_components(
             labels, _ = ws.stage(labels)
             keys = frequent_keys(step, "name", limit)
             hot = labels.join(F.broadcast(keys), "name", "left_semi")
-        labels = keyed_lookup(step, labels, "name", spread_by=F.col("_from"), hot=hot).select(
-            F.col("_from").alias("name"), F.coalesce("label", complete).alias("label")
+        labels = keyed_lookup(step, labels.drop("id"), "name", spread_by=F.col("_from"), hot=hot).select(
+            F.col("_from").alias("name"), F.coalesce("label", complete).alias("label"), F.col("_id").alias("id")
         )
-    named = numbers.withColumn("name", _renamed(F.col("id")))
-    return named.join(labels, "name").select("folio", "label"), figures
+    folio = F.col("id").cast("string")
+    if numbers is not None:
+        labels, folio = labels.join(numbers, "id", "left"), F.coalesce("folio", folio)
+    return labels.select(folio.alias("folio"), "label"), figures
 
 
 def component_table(

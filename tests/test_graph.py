@@ -231,3 +231,22 @@ def test_nodes_and_hub_report(spark):
     assert len(out) == 301
     assert {(r["Grupo_ID"], r["Tamano_Grupo"]) for r in out if r["n"] < 300} == {(1, 202)}
     assert [(r["Grupo_ID"], r["Tamano_Grupo"]) for r in out if r["n"] == 300] == [(2, 1)]
+
+
+def test_only_folios_that_are_no_plain_numbers_are_numbered(spark, monkeypatch):
+    from bitacora.operators import graph
+
+    numbered, number = [], graph.number_rows
+
+    def seen(df, *args):
+        numbered.extend(r["folio"] for r in df.collect())
+        return number(df, *args)
+
+    monkeypatch.setattr(graph, "number_rows", seen)
+    edges = [("1", "2"), ("2", "3"), ("01", "1x"), ("1x", "9" * 18), ("4", "9" * 19), ("-5", "0")]
+    for given, odd in ((edges[:2], set()), (edges, {"01", "1x", "9" * 19, "-5", "0"})):
+        numbered.clear()
+        labels, _ = connected_components(edge_frame(spark, given))
+        got = {r["folio"]: r["label"] for r in labels.collect()}
+        assert partition_of(got) == partition_of(components(given))
+        assert set(numbered) == odd
